@@ -23,9 +23,14 @@ def _at_least(both: Column, size_a: Column, size_b: Column, min_sim: float) -> C
 
 
 def distinct_sets(df: DataFrame, id_col: str, fp: str) -> tuple[DataFrame, DataFrame]:
-    """(one row per distinct non-empty set: set_id, fp, size, copies), (member → set_id)."""
+    """(one row per distinct non-empty set: set_id, fp, size, copies), (member → set_id).
+
+    The fingerprints are written first: the optimizer would otherwise copy their costly expression
+    into the filter, the key and the projection and compute it three times per row.
+    """
     set_id = F.md5(F.array_join(F.col(fp).cast("array<string>"), ",").cast("binary"))
-    keyed = df.filter(F.size(fp) > 0).select(F.col(id_col), set_id.alias("set_id"), F.col(fp).alias("fp"))
+    written = materialize(df.select(id_col, fp), "fingerprints")
+    keyed = written.filter(F.size(fp) > 0).select(F.col(id_col), set_id.alias("set_id"), F.col(fp).alias("fp"))
     sets = keyed.groupBy("set_id").agg(F.any_value("fp").alias("fp"), F.count(F.lit(1)).alias("copies"))
     return sets.withColumn("size", F.size("fp")), keyed.select(id_col, "set_id")
 
@@ -82,8 +87,15 @@ def set_pairs(a: DataFrame, b: DataFrame | None, min_sim: float, n_bits: int) ->
     )
     if self_join:
         on = on & (F.col("l.set_id") < F.col("r.set_id"))
-    pairs = left.join(right, on).select(
-        F.col("l.set_id").alias("set_a"), F.col("r.set_id").alias("set_b")).distinct()
+    found = left.join(right, on).groupBy(
+        F.col("l.set_id").alias("set_a"), F.col("r.set_id").alias("set_b"), size_l.alias("size_l"), size_r.alias("size_r")
+    ).agg(F.count(F.lit(1)).alias("c"))
+    # all shared bits up to the end of the prefix that ends first are counted in c; behind it that set
+    # has fewer than ceil(t·len) bits left
+    left_over = F.ceil(F.greatest("size_l", "size_r") * t - F.lit(1e-9)) - 1
+    pairs = materialize(
+        found.filter(_at_least(F.col("c") + left_over, F.col("size_l"), F.col("size_r"), min_sim)).select("set_a", "set_b")
+        .repartition("set_a"), "candidates")
     verified = (
         pairs.join(a.select(F.col("set_id").alias("set_a"), F.col("fp").alias("fp_a"), F.col("size").alias("size_a")), "set_a")
         .join(b.select(F.col("set_id").alias("set_b"), F.col("fp").alias("fp_b"), F.col("size").alias("size_b")), "set_b")

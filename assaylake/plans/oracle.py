@@ -29,7 +29,7 @@ CTES: dict[str, str] = {
         SELECT h.molecule_hash, 0.0 - l_quantity AS delta_g,
                CASE WHEN l_returnflag = 'R' THEN 'Failed_Analysis' ELSE 'Success' END AS status,
                l_suppkey AS batch_id, l_linenumber AS attempt,
-               date_diff('day', DATE '1990-01-01', CAST(l_shipdate AS DATE)) AS day, l_partkey AS task
+               CAST(date_diff('day', DATE '1990-01-01', CAST(l_shipdate AS DATE)) AS INTEGER) AS day, l_partkey AS task
         FROM lineitem JOIN doc_hashes h ON h.doc_id = l_orderkey % (SELECT count(*) FROM documents)""",
     "oracle_best": """
         SELECT * FROM oracle_raw QUALIFY row_number() OVER (

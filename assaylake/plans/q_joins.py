@@ -14,6 +14,7 @@ from assaylake.operators.aggregates import validation_metrics, value_counts
 from assaylake.operators.pareto import pareto_front
 from assaylake.plans import views as V
 from assaylake.plans.catalog import query
+from assaylake.session import spread
 from assaylake.sources import tables as T
 
 SIM_BITS, SIM_K, SIM_MIN = 1 << 20, 8, 0.65
@@ -186,7 +187,7 @@ def _(spark, sf):
 
 def fingerprints(spark, sf):
     """Whole-text fingerprints of the documents, with run and elite flag."""
-    d = T.table(spark, sf, "documents").select("doc_id", "text")
+    d = spread(T.table(spark, sf, "documents").select("doc_id", "text"))
     fp = FP.fingerprint(F.col("text"), SIM_BITS, SIM_K)
     return d.select("doc_id", fp.alias("fp"), F.when(F.col("doc_id") % 10 == 0, "cycle2").otherwise("cycle1").alias("run_id"))
 
@@ -200,20 +201,21 @@ def previous_elite(spark, sf):
 
 
 _FP_CTE = """
-    WITH chars AS (SELECT doc_id, string_split(text, '') AS c FROM documents),
-         gram AS (SELECT doc_id, unnest(list_distinct(list_transform(range(1, len(c) - 6), lambda i: array_to_string(c[i:i + 7], '')))) AS g FROM chars),
-         post AS (SELECT DISTINCT doc_id, CAST(('0x' || substr(md5(g), 1, 8)) AS BIGINT) % 1048576 AS bit FROM gram),
+    WITH chars AS (SELECT doc_id, unnest(string_split(text, '')) AS c, generate_subscripts(string_split(text, ''), 1) AS i FROM documents),
+         gram AS (SELECT doc_id, c || """ + " || ".join(f"lead(c, {i}) OVER w" for i in range(1, SIM_K)) + """ AS g
+                  FROM chars WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+         post AS (SELECT DISTINCT doc_id, CAST(('0x' || substr(md5(g), 1, 8)) AS BIGINT) % 1048576 AS bit FROM gram WHERE g IS NOT NULL),
          sets AS (SELECT doc_id, count(*) AS size, md5(string_agg(bit, ',' ORDER BY bit)) AS set_id FROM post GROUP BY 1)"""
 
 
 @query("j9_similarity_join", _FP_CTE + """,
          rep AS (SELECT set_id, min(doc_id) AS rep, count(*) AS copies, any_value(size) AS size FROM sets GROUP BY 1),
          rpost AS (SELECT p.doc_id, p.bit FROM post p JOIN rep r ON r.rep = p.doc_id),
-         inter AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM rpost a JOIN rpost b ON a.bit = b.bit AND a.doc_id < b.doc_id GROUP BY ALL)
+         inter AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM rpost a JOIN rpost b ON a.bit = b.bit AND a.doc_id < b.doc_id GROUP BY ALL)
     SELECT x AS rep_a, y AS rep_b, ra.copies AS copies_a, rb.copies AS copies_b,
-           round(CAST(both AS DOUBLE) / (ra.size + rb.size - both), 9) AS sim
+           round(CAST(shared AS DOUBLE) / (ra.size + rb.size - shared), 9) AS sim
     FROM inter JOIN rep ra ON ra.rep = x JOIN rep rb ON rb.rep = y
-    WHERE both * 100 >= 65 * (ra.size + rb.size - both)""")
+    WHERE shared * 100 >= 65 * (ra.size + rb.size - shared)""")
 def _(spark, sf):
     pairs = Z.similarity_join(fingerprints(spark, sf), None, SIM_MIN, "doc_id", n_bits=SIM_BITS)
     return pairs.withColumn("sim", F.round("sim", 9))
@@ -222,11 +224,11 @@ def _(spark, sf):
 _MAX_SIM_SQL = _FP_CTE + """,
          new AS (SELECT doc_id FROM documents WHERE doc_id % 10 = 0),
          old AS (SELECT seq AS doc_id FROM screening_raw WHERE seq % 10 <> 0 AND sa_score < 4 AND qed_score > 0.5),
-         inter AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM post a JOIN new USING (doc_id)
+         inter AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM post a JOIN new USING (doc_id)
                    JOIN (SELECT * FROM post JOIN old USING (doc_id)) b ON a.bit = b.bit GROUP BY ALL),
-         sim AS (SELECT x AS doc_id, max(CAST(both AS DOUBLE) / (sa.size + sb.size - both)) AS max_sim
+         sim AS (SELECT x AS doc_id, max(CAST(shared AS DOUBLE) / (sa.size + sb.size - shared)) AS max_sim
                  FROM inter JOIN sets sa ON sa.doc_id = x JOIN sets sb ON sb.doc_id = y
-                 WHERE both * 100 >= 50 * (sa.size + sb.size - both) GROUP BY 1)"""
+                 WHERE shared * 100 >= 50 * (sa.size + sb.size - shared) GROUP BY 1)"""
 
 
 @query("f8_novel", _MAX_SIM_SQL + """

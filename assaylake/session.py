@@ -66,3 +66,13 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """
     written = materialize(df, "side")
     return F.broadcast(written) if written.count() <= max_rows else written
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A table scan ahead of costly per-row work, on all cores.
+
+    Only a scan with fewer splits than cores (a small file) is redistributed; a large table is left
+    as it is read.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
