@@ -142,7 +142,7 @@ def run_count(df: DataFrame, run_id: str) -> DataFrame:
 
 
 def uniqueness(df: DataFrame, c: str, approximate: bool = False) -> DataFrame:
-    distinct = F.approx_count_distinct(c) if approximate else F.count_distinct(F.col(c))
+    distinct = F.approx_count_distinct(c, 0.02) if approximate else F.count_distinct(F.col(c))
     return df.agg(F.count(F.lit(1)).alias("total"), distinct.alias("n_distinct")).withColumn(
         "uniqueness_pct", F.try_divide(F.col("n_distinct"), F.col("total")) * 100.0)
 
