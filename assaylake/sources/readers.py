@@ -70,7 +70,7 @@ def build_manifest(lines: DataFrame, base: str) -> DataFrame:
 
 def _headers(spark: SparkSession, path_glob: str, mixed: bool) -> list[tuple[str, list[str]]]:
     """(header line, paths it applies to). One line is read unless files may differ."""
-    text = spark.read.text(path_glob).select(
+    text = spark.read.option("ignoreCorruptFiles", "true" if mixed else "false").text(path_glob).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value",
         F.monotonically_increasing_id().alias("id"))
     if not mixed:
@@ -83,13 +83,14 @@ def _headers(spark: SparkSession, path_glob: str, mixed: bool) -> list[tuple[str
 
 
 def read_score_shards(spark: SparkSession, path_globs: str | list[str], schema: T.StructType,
-                      mixed_headers: bool = False) -> DataFrame:
+                      mixed_headers: bool = True) -> DataFrame:
     """Many CSV shards with headers as one frame, columns matched by name.
 
-    Each glob is one family of files with the same header; Spark checks every file's header against
-    it. With ``mixed_headers`` the files of a glob may differ: their first lines are read and files
-    with equal headers are scanned together. A column a family lacks is null, an unreadable file is
-    skipped, no file at all gives an empty frame, NaN becomes null.
+    The first lines of the files are read, and files with equal headers are scanned together; a
+    column a file lacks is null, an unreadable file is skipped, no file at all gives an empty frame,
+    NaN becomes null. With ``mixed_headers=False`` every file of a glob must have the header of the
+    first one: that saves the pass over the first lines, and a file with another header or one that
+    cannot be read is an error.
     """
     out = spark.createDataFrame([], schema)
     for glob in [path_globs] if isinstance(path_globs, str) else path_globs:
@@ -102,8 +103,8 @@ def read_score_shards(spark: SparkSession, path_globs: str | list[str], schema:
         for header, paths in headers:
             cols = [w.strip() for w in header.split(",")]
             text = T.StructType([T.StructField(c, T.StringType()) for c in cols])
-            part = (spark.read.schema(text).option("header", "true").option("enforceSchema", "false")
-                    .option("escape", '"').option("ignoreCorruptFiles", "true").csv(paths))
+            part = (spark.read.schema(text).option("header", "true").option("enforceSchema", "true" if mixed_headers else "false")
+                    .option("escape", '"').option("ignoreCorruptFiles", "true" if mixed_headers else "false").csv(paths))
             by_lower = {c.lower(): c for c in cols}
             out = out.unionByName(part.select(*[_typed(by_lower.get(f.name.lower()), f) for f in schema.fields]))
     return out
