@@ -25,16 +25,32 @@ STAGES = {
 }
 
 
-def _last(c: Column, pattern: str) -> Column:
-    return F.try_element_at(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), F.lit(-1))
+def _matches(c: Column, pattern: str) -> Column:
+    return F.coalesce(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), F.array().cast("array<string>"))
 
 
 def _first(c: Column, pattern: str) -> Column:
-    return F.try_element_at(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), F.lit(1))
+    return F.slice(_matches(c, pattern), 1, 1)
+
+
+def _last(c: Column, pattern: str) -> Column:
+    return F.slice(_matches(c, pattern), -1, 1)
 
 
-def _usable(c: Column) -> Column:
-    return F.when((c != "") & (c != SUSPICIOUS), c)
+def _usable(found: Column) -> Column:
+    return F.filter(found, lambda x: (x != "") & (x != SUSPICIOUS))
+
+
+def _number_and_status(found: Column, name: str, failure: str) -> Column:
+    """struct(name, status) of the first text in an array.
+
+    Works on one-element arrays so that each pattern is matched once per row however often the
+    value is used.
+    """
+    numbers = F.filter(F.transform(F.slice(found, 1, 1), lambda x: x.try_cast("double")), lambda v: v.isNotNull() & ~F.isnan(v))
+    good = F.transform(numbers, lambda v: F.struct(v.alias(name), F.lit(SUCCESS).alias("status")))
+    bad = F.array(F.struct(F.lit(None).cast("double").alias(name), F.lit(failure).alias("status")))
+    return F.get(F.concat(good, bad), F.lit(0))
 
 
 def extract_energy(summary: Column, info: Column, log: Column, summary_pattern: str = SUMMARY_PATTERN,
@@ -43,17 +59,8 @@ def extract_energy(summary: Column, info: Column, log: Column, summary_pattern:
 
     A suspicious 0.00 falls through to the next source, and is kept only when it is the last answer.
     """
-    text = F.coalesce(
-        _usable(_first(summary, summary_pattern)),
-        _usable(_last(info, info_pattern)),
-        _last(log, table_pattern),
-    )
-    value = text.try_cast("double")
-    value = F.when(~F.isnan(value), value)
-    return F.struct(
-        value.alias("delta_g"),
-        F.when(value.isNull(), "Failed_Analysis").otherwise(SUCCESS).alias("status"),
-    )
+    found = F.concat(_usable(_first(summary, summary_pattern)), _usable(_last(info, info_pattern)), _last(log, table_pattern))
+    return _number_and_status(found, "delta_g", "Failed_Analysis")
 
 
 def extract_score(log: Column, pattern: str = SCORE_PATTERN) -> Column:
@@ -61,12 +68,7 @@ def extract_score(log: Column, pattern: str = SCORE_PATTERN) -> Column:
 
     One log per candidate: an appended log would hand a failed row its predecessor's score.
     """
-    value = _last(log, pattern).try_cast("double")
-    value = F.when(~F.isnan(value), value)
-    return F.struct(
-        value.alias("docking_score"),
-        F.when(value.isNull(), "Gnina_Failed").otherwise(SUCCESS).alias("status"),
-    )
+    return _number_and_status(_last(log, pattern), "docking_score", "Gnina_Failed")
 
 
 def status_class(status: Column) -> Column:

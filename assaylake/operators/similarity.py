@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaylake.functions.fingerprints import overlap
-from assaylake.session import materialize
+from assaylake.session import materialize, small_side
 
+SKETCH = 1 << 18
 _SCALE = 1_000_000  # thresholds are compared as integers, never as rounded quotients
 
 
@@ -35,46 +36,49 @@ def distinct_sets(df: DataFrame, id_col: str, fp: str) -> tuple[DataFrame, DataF
     return sets.withColumn("size", F.size("fp")), keyed.select(id_col, "set_id")
 
 
-def bit_frequencies(*sets: DataFrame) -> DataFrame:
-    """How many sets hold each bit; at most one row per bit of the fingerprint."""
-    bits = None
+def bit_sketch(*sets: DataFrame) -> DataFrame:
+    """One row: how many sets hold a bit of each of ``SKETCH`` buckets, as an array.
+
+    The order of bits may be any fixed order, so counts per bucket are enough: common bits stand out
+    of the rest, and the array has the same size however many distinct bits there are.
+    """
+    counts = sets[0].sparkSession.range(SKETCH).select(F.col("id").cast("int").alias("bucket"), F.lit(0).cast("bigint").alias("n"))
     for s in sets:
-        part = s.select(F.explode("fp").alias("bit"))
-        bits = part if bits is None else bits.unionByName(part)
-    return bits.groupBy("bit").agg(F.count(F.lit(1)).alias("df"))
+        bits = s.select(F.explode("fp").alias("bit"))
+        counts = counts.unionByName(bits.groupBy((F.col("bit") % SKETCH).alias("bucket")).agg(F.count(F.lit(1)).alias("n")))
+    dense = counts.groupBy("bucket").agg(F.sum("n").alias("n"))
+    return dense.agg(F.transform(F.sort_array(F.collect_list(F.struct("bucket", "n"))), lambda x: F.least(x["n"], F.lit(1 << 30)).cast("int")).alias("sketch"))
 
 
-def _prefix_postings(sets: DataFrame, freq: DataFrame, min_sim: float, n_bits: int) -> DataFrame:
-    """(bit, set_id, size, pos) for the prefix of every set, rare bits first.
+def _prefix_postings(sets: DataFrame, sketch: DataFrame, min_sim: float) -> DataFrame:
+    """(bit, sid, size, pos) for the prefix of every set, rare bits first.
 
-    The frequency table has at most ``n_bits`` rows of 12 bytes; it is broadcast only when that bound
-    is below 64 MB. The exploded rows keep the partitioning by set_id, so regrouping them per set
-    does not shuffle.
+    Works inside each row: count and bit are packed into one long, so that a sort of plain numbers
+    puts rare bits first. The sketch is a scalar subquery, evaluated once.
     """
-    side = F.broadcast(freq) if n_bits * 12 <= 64 << 20 else freq
-    ranked = (
-        sets.select("set_id", "size", F.explode("fp").alias("bit"))
-        .join(side, "bit")
-        .groupBy("set_id", "size")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "bit"))).alias("bits"))
-    )
+    low = F.lit(1 << 32)
+    pack = lambda b: F.get(F.col("sketch"), b % SKETCH) * low + b
     keep = F.col("size") - F.ceil(F.col("size") * F.lit(min_sim) - F.lit(1e-9)).cast("int") + 1
-    return ranked.select(
-        "set_id", "size", F.posexplode(F.slice("bits", F.lit(1), keep)).alias("pos", "b")
-    ).select("set_id", "size", "pos", F.col("b.bit").alias("bit"))
+    ranked = sets.withColumn("sketch", sketch.scalar()).select(
+        "sid", "size", F.slice(F.sort_array(F.transform("fp", pack)), F.lit(1), keep).alias("prefix"))
+    prefix = ranked.select("sid", "size", F.posexplode("prefix").alias("pos", "packed"))
+    # a bucket with a count of 1 has a bit only one set holds, which has no partner
+    return prefix.filter(F.col("packed") >= F.lit(2 << 32)).select("sid", "size", "pos", (F.col("packed") % low).cast("int").alias("bit"))
 
 
-def set_pairs(a: DataFrame, b: DataFrame | None, min_sim: float, n_bits: int) -> DataFrame:
+def set_pairs(a: DataFrame, b: DataFrame | None, min_sim: float) -> DataFrame:
     """(set_a, set_b, inter, size_a, size_b) for all pairs of distinct sets with Tanimoto ≥ min_sim.
 
-    ``b=None`` joins ``a`` with itself and gives each pair once, set_a < set_b.
+    ``b=None`` joins ``a`` with itself and gives each pair once.
     """
     self_join = b is None
-    a = materialize(a, "sets")
-    b = a if self_join else materialize(b, "sets")
-    freq = bit_frequencies(a) if self_join else bit_frequencies(a, b)
-    left = _prefix_postings(a, freq, min_sim, n_bits)
-    right = left if self_join else _prefix_postings(b, freq, min_sim, n_bits)
+    # a number per set, fixed by writing it, keeps postings and pairs narrow
+    numbered = lambda sets: materialize(sets.withColumn("sid", F.monotonically_increasing_id()), "sets")
+    a = numbered(a)
+    b = a if self_join else numbered(b)
+    sketch = materialize(bit_sketch(a) if self_join else bit_sketch(a, b), "sketch")
+    left = _prefix_postings(a, sketch, min_sim)
+    right = left if self_join else _prefix_postings(b, sketch, min_sim)
     left, right = left.alias("l"), right.alias("r")
     size_l, size_r = F.col("l.size"), F.col("r.size")
     t = F.lit(min_sim)
@@ -86,21 +90,20 @@ def set_pairs(a: DataFrame, b: DataFrame | None, min_sim: float, n_bits: int) ->
         & _at_least(best, size_l, size_r, min_sim)
     )
     if self_join:
-        on = on & (F.col("l.set_id") < F.col("r.set_id"))
+        on = on & (F.col("l.sid") < F.col("r.sid"))
     found = left.join(right, on).groupBy(
-        F.col("l.set_id").alias("set_a"), F.col("r.set_id").alias("set_b"), size_l.alias("size_l"), size_r.alias("size_r")
+        F.col("l.sid").alias("sid_a"), F.col("r.sid").alias("sid_b"), size_l.alias("size_l"), size_r.alias("size_r")
     ).agg(F.count(F.lit(1)).alias("c"))
     # all shared bits up to the end of the prefix that ends first are counted in c; behind it that set
     # has fewer than ceil(t·len) bits left
     left_over = F.ceil(F.greatest("size_l", "size_r") * t - F.lit(1e-9)) - 1
-    pairs = materialize(
-        found.filter(_at_least(F.col("c") + left_over, F.col("size_l"), F.col("size_r"), min_sim)).select("set_a", "set_b")
-        .repartition("set_a"), "candidates")
-    verified = (
-        pairs.join(a.select(F.col("set_id").alias("set_a"), F.col("fp").alias("fp_a"), F.col("size").alias("size_a")), "set_a")
-        .join(b.select(F.col("set_id").alias("set_b"), F.col("fp").alias("fp_b"), F.col("size").alias("size_b")), "set_b")
-        .select("set_a", "set_b", overlap(F.col("fp_a"), F.col("fp_b")).alias("inter"), "size_a", "size_b")
-    )
+    kept = found.filter(_at_least(F.col("c") + left_over, F.col("size_l"), F.col("size_r"), min_sim))
+    pairs = small_side(kept.select("sid_a", "sid_b"))
+    # only sets that are in some pair leave their place
+    side = lambda sets, x: sets.select(F.col("sid").alias(f"sid_{x}"), F.col("set_id").alias(f"set_{x}"), F.col("fp").alias(f"fp_{x}"),
+                                       F.col("size").alias(f"size_{x}")).join(pairs, f"sid_{x}")
+    verified = side(a, "a").join(side(b, "b"), ["sid_a", "sid_b"]).select(
+        "set_a", "set_b", overlap(F.col("fp_a"), F.col("fp_b")).alias("inter"), "size_a", "size_b")
     return verified.filter(_at_least(F.col("inter"), F.col("size_a"), F.col("size_b"), min_sim))
 
 
@@ -108,8 +111,7 @@ def _similarity(both: Column, size_a: Column, size_b: Column) -> Column:
     return both.cast("double") / (size_a + size_b - both).cast("double")
 
 
-def similarity_join(a: DataFrame, b: DataFrame | None, min_sim: float, id_col: str, fp: str = "fp",
-                    n_bits: int = 1 << 20) -> DataFrame:
+def similarity_join(a: DataFrame, b: DataFrame | None, min_sim: float, id_col: str, fp: str = "fp") -> DataFrame:
     """All pairs of distinct sets with Tanimoto ≥ min_sim, named by their smallest member ids.
 
     (rep_a, rep_b, copies_a, copies_b, sim). Copies of one set have similarity 1 to each other and the
@@ -120,10 +122,10 @@ def similarity_join(a: DataFrame, b: DataFrame | None, min_sim: float, id_col: s
     name = lambda m, side: m.groupBy("set_id").agg(F.min(id_col).alias(f"rep_{side}"), F.count(F.lit(1)).alias(f"copies_{side}")) \
         .withColumnRenamed("set_id", f"set_{side}")
     if b is None:
-        pairs, members_b = set_pairs(sets_a, None, min_sim, n_bits), members_a
+        pairs, members_b = set_pairs(sets_a, None, min_sim), members_a
     else:
         sets_b, members_b = distinct_sets(b, id_col, fp)
-        pairs = set_pairs(sets_a, sets_b, min_sim, n_bits)
+        pairs = set_pairs(sets_a, sets_b, min_sim)
     named = pairs.join(name(members_a, "a"), "set_a").join(name(members_b, "b"), "set_b")
     out = named.select("rep_a", "rep_b", "copies_a", "copies_b",
                        _similarity(F.col("inter"), F.col("size_a"), F.col("size_b")).alias("sim"))
@@ -139,12 +141,11 @@ def similarity_join(a: DataFrame, b: DataFrame | None, min_sim: float, id_col: s
     )
 
 
-def max_similarity(a: DataFrame, previous: DataFrame, min_sim: float, id_col: str, fp: str = "fp",
-                   n_bits: int = 1 << 20) -> DataFrame:
+def max_similarity(a: DataFrame, previous: DataFrame, min_sim: float, id_col: str, fp: str = "fp") -> DataFrame:
     """(id, max_sim) for every row of ``a``: the best similarity to a previous set, 0 below min_sim."""
     sets_a, members = distinct_sets(a, id_col, fp)
     sets_b, _ = distinct_sets(previous, id_col, fp)
-    best = set_pairs(sets_a, sets_b, min_sim, n_bits).groupBy(F.col("set_a").alias("set_id")).agg(
+    best = set_pairs(sets_a, sets_b, min_sim).groupBy(F.col("set_a").alias("set_id")).agg(
         F.max(_similarity(F.col("inter"), F.col("size_a"), F.col("size_b"))).alias("max_sim"))
     found = members.join(best, "set_id").select(id_col, "max_sim")
     return a.select(id_col).join(found, id_col, "left").withColumn("max_sim", F.coalesce("max_sim", F.lit(0.0)))

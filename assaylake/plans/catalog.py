@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import importlib
-import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,5 +32,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def load() -> None:
     for module in _MODULES:
-        if importlib.util.find_spec(f"assaylake.plans.{module}") is None: continue
         importlib.import_module(f"assaylake.plans.{module}")

@@ -74,7 +74,7 @@ class LearnRound:
 
 def learn_cycle(gold: DataFrame, registry: DataFrame, screening: DataFrame, model_version: str, run_id: str, pool_size: int,
                 n_struct: int, n_random: int, min_sim: float = 0.65, trees: int = X.N_TREES, depth: int = X.DEPTH,
-                fp_bits: int = 1 << 20, fp_k: int = 8) -> LearnRound:
+                fp_bits: int = 1 << 31, fp_k: int = 8) -> LearnRound:
     """Train on the labels, score the pool, unify, cluster the elite pool and split it for training."""
     labelled, _ = X.featurize(J.training_set(gold, registry))
     rows = materialize(X.with_split(labelled), "train")
@@ -86,7 +86,7 @@ def learn_cycle(gold: DataFrame, registry: DataFrame, screening: DataFrame, mode
         registry.select("molecule_hash", "smiles"), "molecule_hash")
     ranked = materialize(with_row_index(pool, [F.col("final_score").asc_nulls_last(), F.col("molecule_hash").asc()], index="rank")
                          .withColumn("fp", fingerprint(F.col("smiles"), fp_bits, fp_k)), "pool")
-    clustered = materialize(cluster_by_similarity(ranked, "molecule_hash", "rank", "fp", min_sim, fp_bits).drop("fp"), "clusters")
+    clustered = materialize(cluster_by_similarity(ranked, "molecule_hash", "rank", "fp", min_sim).drop("fp"), "clusters")
     elite = G.hash_split(G.select_elite(clustered, n_struct, n_random), 0.9)
     return LearnRound(model, X.evaluate_proxy(model, rows), predictions, unified, elite)
 

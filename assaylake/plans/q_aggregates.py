@@ -9,6 +9,7 @@ from assaylake.operators import aggregates as A
 from assaylake.operators import selection as G
 from assaylake.plans import views as V
 from assaylake.plans.catalog import query
+from assaylake.session import materialize
 from assaylake.sources import tables as T
 
 METRICS = ["total", "mean_affinity", "median_affinity", "hit_rate", "elite_rate", "mean_qed", "safety_rate", "gold_count", "gold_rate"]
@@ -77,7 +78,8 @@ CYCLE_SQL = """
 
 
 def cycle_metrics(spark, sf):
-    m = A.cycle_metrics(V.cycles(spark, sf).select("cycle", "final_score", "qed_score", "toxicity_label"))
+    scores = materialize(V.cycles(spark, sf).select("cycle", "final_score", "qed_score", "toxicity_label"), "cycles")
+    m = A.cycle_metrics(scores)
     return rounded(m, "mean_affinity", "median_affinity", "hit_rate", "elite_rate", "mean_qed", "safety_rate", "gold_rate")
 
 

@@ -17,7 +17,7 @@ from assaylake.plans.catalog import query
 from assaylake.session import spread
 from assaylake.sources import tables as T
 
-SIM_BITS, SIM_K, SIM_MIN = 1 << 20, 8, 0.65
+SIM_BITS, SIM_K, SIM_MIN = 1 << 31, 8, 0.65
 
 
 @query("q1_report_rows", """
@@ -204,7 +204,7 @@ _FP_CTE = """
     WITH chars AS (SELECT doc_id, unnest(string_split(text, '')) AS c, generate_subscripts(string_split(text, ''), 1) AS i FROM documents),
          gram AS (SELECT doc_id, c || """ + " || ".join(f"lead(c, {i}) OVER w" for i in range(1, SIM_K)) + """ AS g
                   FROM chars WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-         post AS (SELECT DISTINCT doc_id, CAST(('0x' || substr(md5(g), 1, 8)) AS BIGINT) % 1048576 AS bit FROM gram WHERE g IS NOT NULL),
+         post AS (SELECT DISTINCT doc_id, CAST(('0x' || substr(md5(g), 1, 8)) AS BIGINT) % 2147483648 AS bit FROM gram WHERE g IS NOT NULL),
          sets AS (SELECT doc_id, count(*) AS size, md5(string_agg(bit, ',' ORDER BY bit)) AS set_id FROM post GROUP BY 1)"""
 
 
@@ -217,7 +217,7 @@ _FP_CTE = """
     FROM inter JOIN rep ra ON ra.rep = x JOIN rep rb ON rb.rep = y
     WHERE shared * 100 >= 65 * (ra.size + rb.size - shared)""")
 def _(spark, sf):
-    pairs = Z.similarity_join(fingerprints(spark, sf), None, SIM_MIN, "doc_id", n_bits=SIM_BITS)
+    pairs = Z.similarity_join(fingerprints(spark, sf), None, SIM_MIN, "doc_id")
     return pairs.withColumn("sim", F.round("sim", 9))
 
 
@@ -236,7 +236,7 @@ _MAX_SIM_SQL = _FP_CTE + """,
     WHERE coalesce(max_sim, 0.0) <= 0.7""")
 def _(spark, sf):
     new, old = previous_elite(spark, sf)
-    near = Z.max_similarity(new, old, 0.5, "doc_id", n_bits=SIM_BITS)
+    near = Z.max_similarity(new, old, 0.5, "doc_id")
     return near.filter(P.novel()).withColumn("max_sim", F.round("max_sim", 9))
 
 
@@ -245,7 +245,7 @@ def _(spark, sf):
     FROM new n JOIN screening_raw s ON s.seq = n.doc_id LEFT JOIN sim ON sim.doc_id = n.doc_id""")
 def _(spark, sf):
     new, old = previous_elite(spark, sf)
-    near = Z.max_similarity(new, old, 0.5, "doc_id", n_bits=SIM_BITS)
+    near = Z.max_similarity(new, old, 0.5, "doc_id")
     scores = T.screening_raw(spark, sf).select(F.col("seq").alias("doc_id"), "docking_score")
     return near.join(scores, "doc_id").select(
         "doc_id", F.round(S.similarity_penalty(F.col("docking_score"), F.col("max_sim"), 10.0), 6).alias("penalised"))

@@ -39,7 +39,7 @@ def test_self_join_equals_brute_force(spark, seed, t):
         if s:
             reps.setdefault(tuple(s), []).append(i)
     want = sorted((ia[0], ib[0], len(ia), len(ib)) for a, ia in reps.items() for b, ib in reps.items() if ia[0] < ib[0] and similar(a, b, t))
-    got = Z.similarity_join(as_df(spark, sets), None, t, "id", n_bits=64)
+    got = Z.similarity_join(as_df(spark, sets), None, t, "id")
     assert sorted(rows(got, "rep_a", "rep_b", "copies_a", "copies_b")) == want
     for a, b, s in rows(got, "rep_a", "rep_b", "sim"):
         x, y = set(sets[a]), set(sets[b])
@@ -49,7 +49,7 @@ def test_self_join_equals_brute_force(spark, seed, t):
 @pytest.mark.parametrize("seed", [7, 8])
 def test_max_similarity_equals_brute_force(spark, seed):
     new, old = random_sets(seed), random_sets(seed + 100)
-    got = dict(rows(Z.max_similarity(as_df(spark, new), as_df(spark, old), 0.4, "id", n_bits=64), "id", "max_sim"))
+    got = dict(rows(Z.max_similarity(as_df(spark, new), as_df(spark, old), 0.4, "id"), "id", "max_sim"))
     for i, s in enumerate(new):
         sims = [len(set(s) & set(o)) / len(set(s) | set(o)) for o in old if similar(s, o, 0.4)]
         assert got[i] == pytest.approx(max(sims, default=0.0))
@@ -93,7 +93,7 @@ def test_clusters_with_copies_equal_sequential_rule(spark, seed):
     edges = [(i, j) for i in range(n) for j in range(i + 1, n) if similar(sets[i], sets[j], 0.6)]
     want = sequential_leaders(n, edges)
     df = as_df(spark, sets).withColumn("rank", F.col("id"))
-    got = dict(rows(cluster_by_similarity(df, "id", "rank", "fp", 0.6, 64), "id", "cluster_id"))
+    got = dict(rows(cluster_by_similarity(df, "id", "rank", "fp", 0.6), "id", "cluster_id"))
     assert got == want
 
 
