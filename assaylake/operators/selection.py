@@ -11,6 +11,7 @@ from assaylake.functions import predicates as P
 from assaylake.operators.aggregates import first_row
 from assaylake.operators.indexing import IN_MEMORY_ROWS, take_positions, with_row_index
 from assaylake.operators.joins import without
+from assaylake.session import materialize
 
 # Names of the selection legs.
 EXPLOIT, EXPLORE = "exploitation", "exploration"
@@ -51,7 +52,8 @@ def select_for_labelling(pool: DataFrame, k_exploit: int, k_explore: int, by: st
     ``disjoint=False`` draws the random leg from the whole pool and keeps overlaps.
     """
     valid_rows = pool.filter(P.valid_pool() if valid is None else valid)
-    best = top_k(valid_rows, k_exploit, by, ascending, key).select(key, F.lit(EXPLOIT).alias("strategy"))
+    # the k best are used twice; written once, the pool is not ranked again
+    best = materialize(top_k(valid_rows, k_exploit, by, ascending, key).select(key, F.lit(EXPLOIT).alias("strategy")), "best")
     rest = without(valid_rows, best, key) if disjoint else valid_rows
     drawn = sample_k(rest.select(key), k_explore, seed, key).select(key, F.lit(EXPLORE).alias("strategy"))
     return best.unionByName(drawn)
@@ -82,7 +84,7 @@ def select_elite(clustered: DataFrame, n_struct: int, n_random: int, seed: str =
     """Best of each cluster up to n_struct, then random others; a shortage of clusters is made up
     for by more random ones."""
     reps = cluster_best(clustered, cluster, rank)
-    chosen = take_positions(reps, [F.col(rank).asc(), F.col(key).asc()], n_struct)
+    chosen = materialize(take_positions(reps, [F.col(rank).asc(), F.col(key).asc()], n_struct), "chosen")
     n_chosen = chosen.count()
     rest = without(clustered, chosen, key)
     drawn = sample_k(rest, n_random + max(0, n_struct - n_chosen), seed, key)

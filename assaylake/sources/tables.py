@@ -67,10 +67,10 @@ def screening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def oracle_by_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label attempts by document number: many rows per key, a third of them failures."""
-    n_docs = table(spark, sf_dir, "documents").count()
+    n_docs = table(spark, sf_dir, "documents").agg(F.count(F.lit(1))).scalar()
     li = table(spark, sf_dir, "lineitem")
     return li.select(
-        (F.col("l_orderkey") % F.lit(n_docs)).alias("doc_id"),
+        (F.col("l_orderkey") % n_docs).alias("doc_id"),
         (F.lit(0.0) - F.col("l_quantity")).alias("delta_g"),
         F.when(F.col("l_returnflag") == "R", "Failed_Analysis").otherwise("Success").alias("status"),
         F.col("l_suppkey").alias("batch_id"),
