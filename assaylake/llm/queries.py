@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaylake.llm import twins
+from assaylake.llm.decontamination import contamination_report
 from assaylake.llm.licenses import license_report
 from assaylake.llm.mixing import mix_sources
 
@@ -37,3 +38,8 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_license_scan", twins.licenses())
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_report(table(spark, sf_dir, "documents"))
+
+
+@query("op5_decontaminate", twins.CONTAMINATION)
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -79,3 +79,30 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS B
        coalesce(array_to_string(bl, ','), '') AS base_labels, coalesce(array_to_string(al, ','), '') AS labels,
        coalesce(score, 0.0) AS score
 FROM d LEFT JOIN sums USING (rid)"""
+
+
+CONTAMINATION = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+    FROM documents),
+b AS (
+    SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+    FROM benchmark),
+win AS (
+    SELECT DISTINCT item, n, array_to_string(ws[k + 1:k + n], ' ') AS w
+    FROM (SELECT item, ws, least(13, len(ws)) AS n, unnest(range(0, len(ws) - least(13, len(ws)) + 1)) AS k FROM b WHERE len(ws) > 0)),
+lengths AS (SELECT DISTINCT n FROM win),
+occ AS (
+    SELECT rid, k, n, array_to_string(ws[k + 1:k + n], ' ') AS w
+    FROM (SELECT rid, ws, n, unnest(range(0, len(ws) - n + 1)) AS k FROM d, lengths WHERE len(ws) >= n)),
+hits AS (SELECT rid, k, n, item FROM occ JOIN win USING (n, w)),
+words AS (SELECT rid, count(DISTINCT i) AS n_hit FROM (SELECT rid, unnest(range(k, k + n)) AS i FROM hits) GROUP BY rid),
+items AS (SELECT rid, list_sort(list(DISTINCT item)) AS its FROM hits GROUP BY rid)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(len(its), 0) AS BIGINT) AS n_items, sha256(coalesce(array_to_string(its, ','), '')) AS items_sha256,
+       coalesce(n_hit > 0 AND 20 * n_hit >= len(ws), false) AS contaminated
+FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)"""
