@@ -11,6 +11,7 @@ from assaylake.llm import twins
 from assaylake.llm.decontamination import contamination_report
 from assaylake.llm.licenses import license_report
 from assaylake.llm.mixing import mix_sources
+from assaylake.llm.toxicity import toxicity_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,3 +44,8 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_decontaminate", twins.CONTAMINATION)
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
