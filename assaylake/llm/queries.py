@@ -11,6 +11,7 @@ from assaylake.llm import twins
 from assaylake.llm.decontamination import contamination_report
 from assaylake.llm.licenses import license_report
 from assaylake.llm.mixing import mix_sources
+from assaylake.llm.near_dedup import near_duplicates
 from assaylake.llm.toxicity import toxicity_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +50,8 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_toxicity")
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_minhash_near_dedup")
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")

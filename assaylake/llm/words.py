@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 500_000  # text handled at once; one longer text makes a block of its own
+BLOCK_ROWS = 30_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -75,7 +76,7 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", size: int =
         _, at = text_bytes(batch.column(column))
         first = 0
         while first < batch.num_rows:
-            last = max(first + 1, int(np.searchsorted(at, at[first] + size, side="right")) - 1)
+            last = max(first + 1, min(first + BLOCK_ROWS, int(np.searchsorted(at, at[first] + size, side="right")) - 1))
             yield batch.slice(first, last - first)
             first = last
 
@@ -157,10 +158,11 @@ def shingles(words: Words, n: int = 5) -> tuple[np.ndarray, np.ndarray]:
 
 
 def row_counts(values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(value, row, times) of each distinct value of each row, sorted by row and value; ``rows`` must be sorted."""
+    """(value, row, times) of each distinct value of each row of a block, sorted by row and value."""
     if not len(values):
         return values, rows, np.zeros(0, np.int64)
-    order = np.lexsort((values, rows))
+    order = np.argsort(values)
+    order = order[np.argsort(rows[order].astype(np.uint16), kind="stable")]  # a radix sort
     v, r = values[order], rows[order]
     new = np.empty(len(v), dtype=bool)
     new[0] = True
