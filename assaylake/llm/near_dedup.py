@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaylake.llm.components import components
@@ -28,7 +28,8 @@ SIMILARITY = 0.8
 RARE_SHARE = 1e-3  # shingles in fewer documents than this share all have the largest idf
 IDF_RANGE = 0.5  # how far the idf of a rare shingle exceeds that of one in every document
 SEGMENT = 3_000_000  # shingles counted at once in a task
-SMALL_BUCKET = 16  # texts of a bucket that are all compared at once
+SMALL_BUCKET = 8  # a bucket's texts up to this number go to the pair table
+HUBS, TILE = 64, 256  # of a larger bucket: texts that all others are compared with, and others in one task's tile
 KEY_BUCKETS = 1 << 20
 _DRAWS = 1 << 16
 _SLACK = 1e-9
@@ -191,66 +192,85 @@ def _distances(batches: Iterator[pa.RecordBatch], idf: Idf) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(1 - shared / np.maximum(total, 1e-12))], ["a", "b", "d"])
 
 
-def _pairs(df: DataFrame, x: str, y: str) -> DataFrame:
-    return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+def _tile_links(tile: pa.Table, idf: Idf) -> pa.Table:
+    """Links between a tile's hubs and all its texts; one row (k, null) for each text that no hub is linked to."""
+    tile = tile.combine_chunks()
+    keys, hub = tile.column("k").to_pylist(), np.asarray(tile.column("hub"))
+    v, r, n = row_counts(*shingles(words_of(tile.column("text")), SHINGLE))
+    s = idf.weigh(v, n)
+    total = np.bincount(r, s, tile.num_rows)
+    first = np.searchsorted(r, np.arange(tile.num_rows + 1))
+    links, linked = [], np.zeros(tile.num_rows, dtype=bool)
+    for h in np.flatnonzero(hub):
+        hv, hs = v[first[h]:first[h + 1]], s[first[h]:first[h + 1]]
+        at = np.minimum(np.searchsorted(hv, v), len(hv) - 1)
+        hit = np.flatnonzero(hv[at] == v)
+        shared = np.bincount(r[hit], np.minimum(hs[at[hit]], s[hit]), tile.num_rows)
+        near = 1 - shared / (total + total[h] - shared) <= 1 - SIMILARITY + _SLACK
+        near[h] = False
+        linked |= near
+        links += [(min(keys[h], keys[x]), max(keys[h], keys[x])) for x in np.flatnonzero(near)]
+    links += [(keys[x], None) for x in np.flatnonzero(~linked & ~hub)]
+    bucket = tile.column("bucket")[0].as_py()
+    return pa.table({"bucket": pa.array([bucket] * len(links), pa.int64()), "a": pa.array([x for x, _ in links], pa.binary()),
+                     "b": pa.array([y for _, y in links], pa.binary())})
 
 
 def near_duplicate_links(keyed: DataFrame, signed: DataFrame, idf: Idf) -> DataFrame:
     """(a, b) keys of different texts of similarity 0.8 or more that share a band.
 
-    ``keyed`` has (k, text) of every document, ``signed`` (k, bands) of every distinct text. All pairs of
-    a bucket are compared if it holds up to 16 texts. In a larger one every text is compared with one
-    of them, its hub. Those linked to the hub are one class whatever their other links; those not
-    linked go on to the next round with a hub of their own. A pair across the two is compared unless the
-    triangle inequality, which this distance obeys, already shows it too far apart. So no link
-    that a band can show is lost, and no bucket's pairs are listed.
+    ``keyed`` has (k, text) of every document, ``signed`` (k, bands) of every distinct text. Texts of
+    buckets of up to 8 are all compared, a pair once whatever its buckets. Of a larger bucket 64
+    texts, drawn anew for every bucket, are its hubs; the others are dealt into tiles of 256, and each tile
+    is compared with the hubs in one task. Texts that no hub is linked to go on to a next round among
+    themselves, until none are left. So a task holds 320 texts, and a bucket of n texts costs about
+    64 n comparisons a round.
     """
-    spark, far = keyed.sparkSession, 1 - SIMILARITY
+    spark = keyed.sparkSession
     live = materialize(signed.select("k", F.explode("bands").alias("bucket")), "bands")
     shared = spark.sparkContext.broadcast(idf)
-    texts, links = None, None
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        a, b = texts.select(F.col("k").alias("a"), F.col("text").alias("ta")), texts.select(F.col("k").alias("b"), F.col("text").alias("tb"))
-        rows = pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb")
-        return materialize(rows.mapInArrow(lambda it: _distances(it, shared.value), "a binary, b binary, d double"), "distances")
-
+    texts, links = None, []
     while True:
-        buckets = materialize(live.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("hub")).filter("n > 1"), "buckets")
-        members = materialize(live.join(buckets, "bucket"), "members")
-        small = members.filter(F.col("n") <= SMALL_BUCKET).select("bucket", "k")
-        large = members.filter((F.col("n") > SMALL_BUCKET) & (F.col("k") != F.col("hub")))
-        pairs = small.alias("x").join(small.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.k") < F.col("y.k")))
-        pairs = materialize(_pairs(pairs, "x.k", "y.k").union(_pairs(large, "hub", "k")).distinct(), "pairs")
-        if not pairs.take(1):
+        sizes = materialize(live.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
+        members = materialize(live.join(sizes, "bucket"), "members")
+        if not members.take(1):
             break
         if texts is None:
             keys = materialize(members.select("k").distinct(), "keys")
-            bucket = F.pmod(F.xxhash64("k"), F.lit(KEY_BUCKETS)).alias("_at")  # at most 2^20 numbers go to the tasks
-            near = keyed.withColumn("_at", bucket).join(F.broadcast(keys.select(bucket).distinct()), "_at", "left_semi").select("k", "text")
+            at = F.pmod(F.xxhash64("k"), F.lit(KEY_BUCKETS)).alias("_at")  # at most 2^20 numbers go to the tasks
+            near = keyed.withColumn("_at", at).join(F.broadcast(keys.select(at).distinct()), "_at", "left_semi").select("k", "text")
             texts = materialize(near.join(keys.hint("merge"), "k", "left_semi").dropDuplicates(["k"]), "texts")
-        seen = verify(pairs)
-        links = [seen] if links is None else [*links, seen]
-        to_hub = (
-            large.withColumn("a", F.least("hub", "k")).withColumn("b", F.greatest("hub", "k")).join(seen, ["a", "b"])
-            .select("bucket", "k", "d"))
-        to_hub = materialize(to_hub, "spokes")
-        apart = to_hub.filter(F.col("d") > far + _SLACK)
-        live = materialize(apart.select("k", "bucket"), "bands")
-        if not live.take(1):
+        small = members.filter(F.col("n") <= SMALL_BUCKET)
+        pairs = small.alias("x").join(small.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.k") < F.col("y.k")))
+        pairs = pairs.select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).distinct()
+        first, second = (texts.select(F.col("k").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
+        rows = pairs.join(first, "a").join(second, "b").select("a", "b", "ta", "tb")
+        found = rows.mapInArrow(lambda it: _distances(it, shared.value), "a binary, b binary, d double")
+        links.append(materialize(found.filter(F.col("d") <= 1 - SIMILARITY + _SLACK).select("a", "b"), "links"))
+
+        large = members.filter(F.col("n") > SMALL_BUCKET).withColumn("draw", F.xxhash64("k", "bucket"))
+        if not large.take(1):
             break
-        nearest = apart.groupBy("bucket").agg(F.min("d").alias("nearest"))
-        edge = to_hub.filter(F.col("d") <= far + _SLACK).join(nearest, "bucket").filter(F.col("d") >= F.col("nearest") - far - _SLACK)
-        across = edge.alias("x").join(apart.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("y.d") - F.col("x.d") <= far + _SLACK))
-        across = materialize(_pairs(across, "x.k", "y.k").distinct(), "across")
-        if across.take(1):
-            links.append(verify(across))
-    if links is None:
+        # at most 64 of a bucket come from each of its parts, and 64 of those in the end
+        part = Window.partitionBy("bucket", F.pmod("draw", F.lit(1024))).orderBy("draw", "k")
+        drawn = large.withColumn("_r", F.row_number().over(part)).filter(F.col("_r") <= HUBS)
+        hubs = drawn.withColumn("_r", F.row_number().over(Window.partitionBy("bucket").orderBy("draw", "k"))).filter(F.col("_r") <= HUBS)
+        hubs = materialize(hubs.select("bucket", "k", "n"), "hubs")
+        tiles = F.ceil(F.col("n") / TILE).cast("bigint")
+        others = large.join(hubs.select("bucket", "k"), ["bucket", "k"], "left_anti").select(
+            "bucket", "k", F.pmod(F.xxhash64("k"), tiles).alias("tile"), F.lit(False).alias("hub"))
+        every = hubs.select("bucket", "k", F.explode(F.sequence(F.lit(0).cast("bigint"), tiles - 1)).alias("tile"), F.lit(True).alias("hub"))
+        dealt = others.unionByName(every).join(texts, "k")
+        out = dealt.groupBy("bucket", "tile").applyInArrow(lambda t: _tile_links(t, shared.value), "bucket bigint, a binary, b binary")
+        out = materialize(out, "tiles")
+        links.append(out.filter(F.col("b").isNotNull()).select("a", "b"))
+        live = materialize(out.filter(F.col("b").isNull()).select(F.col("a").alias("k"), "bucket"), "bands")
+    if not links:
         return live.select(F.col("k").alias("a"), F.col("k").alias("b")).limit(0)
     every = links[0]
     for more in links[1:]:
         every = every.union(more)
-    return every.filter(F.col("d") <= far + _SLACK).select("a", "b").distinct()
+    return every.distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
