@@ -12,6 +12,7 @@ from assaylake.llm.decontamination import contamination_report
 from assaylake.llm.licenses import license_report
 from assaylake.llm.mixing import mix_sources
 from assaylake.llm.near_dedup import near_duplicates
+from assaylake.llm.substring_dedup import repeats_report
 from assaylake.llm.toxicity import toxicity_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +56,8 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_minhash_near_dedup")
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
+
+
+@query("op1_substring_dedup")
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats_report(table(spark, sf_dir, "documents"))
