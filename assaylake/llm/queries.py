@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from assaylake.llm import twins
 from assaylake.llm.decontamination import contamination_report
+from assaylake.llm.html_extraction import extraction_report
 from assaylake.llm.licenses import license_report
 from assaylake.llm.mixing import mix_sources
 from assaylake.llm.near_dedup import near_duplicates
@@ -61,3 +62,8 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_substring_dedup")
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats_report(table(spark, sf_dir, "documents"))
+
+
+@query("op2_html_extraction")
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction_report(table(spark, sf_dir, "pages"))
