@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaylake.llm import twins
+from assaylake.llm.ann import search
 from assaylake.llm.decontamination import contamination_report
 from assaylake.llm.html_extraction import extraction_report
 from assaylake.llm.licenses import license_report
@@ -67,3 +68,9 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_html_extraction")
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction_report(table(spark, sf_dir, "pages"))
+
+
+@query("op8_posting_lists")
+def op8_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return search(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
