@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from assaylake.llm import twins
 from assaylake.llm.ann import search
+from assaylake.llm.chat import format_chats
 from assaylake.llm.decontamination import contamination_report
 from assaylake.llm.html_extraction import extraction_report
 from assaylake.llm.licenses import license_report
 from assaylake.llm.mixing import mix_sources
 from assaylake.llm.near_dedup import near_duplicates
+from assaylake.llm.quality import quality_report
 from assaylake.llm.substring_dedup import repeats_report
 from assaylake.llm.toxicity import toxicity_report
 
@@ -74,3 +76,13 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return search(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
+@query("op7_chat_format")
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(spark, sf_dir, "conversations")).withColumnRenamed("conv", "conv_id")
+
+
+@query("op10_quality")
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
