@@ -157,7 +157,7 @@ def main_texts(pages: list[str | None]) -> list[str]:
                 share = cover[at:at + count].mean() if count else 0.0
                 at += count
                 if zone == "":
-                    unique.append((text, share < 0.5))
+                    unique.append((text, share <= 0.5))
             # a page that repeats others as a whole is a copy, not boilerplate
             main = [t for t, keep in unique if keep] or [t for t, _ in unique]
         out.append("\n\n".join(main))
