@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaylake.llm.words import words_of
+from assaylake.session import small_side
 
 PART_PAGES = 256
 REPEAT = 8  # tokens of a long substring; a power of two
@@ -186,7 +187,9 @@ def extract_main_text(pages: DataFrame, keep: list[Column], url_col: str = "url"
     """
     rows = pages.select(F.struct(*keep).alias("row"), host_of(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html"))
     sizes = rows.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / part_pages).cast("int").alias("parts"))
-    dealt = rows.join(sizes, "host").withColumn("part", F.pmod(F.xxhash64("html", "row"), F.col("parts")))
+    # hosts of one part need no number; a short table of the others keeps the pages out of a shuffle by host
+    dealt = rows.join(small_side(sizes.filter("parts > 1")), "host", "left").withColumn(
+        "part", F.pmod(F.xxhash64("html", "row"), F.coalesce("parts", F.lit(1))))
     schema = dealt.select("row", F.lit("").alias("text")).schema
     return dealt.select("host", "part", "row", "html").groupBy("host", "part").applyInArrow(_extract, schema)
 

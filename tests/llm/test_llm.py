@@ -298,7 +298,7 @@ def test_chat(spark, monkeypatch):
 def test_ann(spark):
     rng = np.random.default_rng(6)
     data = rng.normal(size=(1500, 8)) * rng.uniform(0.5, 2, (1500, 1))
-    data[100:160] = data[100]
+    data[100:160] = 9 * data[100]  # copies that are each other's nearest, of one score
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(data)] + [(5000, None), (5001, [0.0] * 8), (5002, [float("nan")] * 8), (None, [1.0] * 8),
                                                                       (5020, [1.0, None] + [0.0] * 6), (5040, [1.0]), (7, [float(x) for x in data[7]])]
     frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
