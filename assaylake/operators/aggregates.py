@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaylake.functions import scalars as S
@@ -245,16 +245,19 @@ def population_vs_unique_mean(df: DataFrame, key: str, c: str) -> DataFrame:
 
 
 def trend_by_iteration(df: DataFrame, iteration: str, score: Column, higher_is_better: bool = True) -> DataFrame:
-    """Best and mean score per iteration and the change from the one before."""
+    """Best and mean score per iteration and the change from the one before, gaps or not.
+
+    Iterations are ordered by the number in their name, then by name; names without a number come last.
+    """
     best = F.max("_s") if higher_is_better else F.min("_s")
     per = df.withColumn("_s", score).groupBy(iteration).agg(best.alias("best"), F.avg("_s").alias("mean"),
                                                             F.count("_s").alias("n"))
-    # one row per iteration; the previous one is found by joining on its number
+    # one row per iteration, so one task orders them
     numbered = per.withColumn("_no", F.regexp_extract(F.col(iteration).cast("string"), r"(\d+)", 1).try_cast("int"))
-    before = numbered.select((F.col("_no") + 1).alias("_no"), F.col("best").alias("_b"), F.col("mean").alias("_m"))
-    return numbered.join(before, "_no", "left").select(
-        iteration, "best", "mean", "n", (F.col("best") - F.col("_b")).alias("best_change"),
-        (F.col("mean") - F.col("_m")).alias("mean_change"))
+    in_order = Window.orderBy(F.col("_no").asc_nulls_last(), F.col(iteration).asc_nulls_last())
+    return numbered.select(
+        iteration, "best", "mean", "n", (F.col("best") - F.lag("best").over(in_order)).alias("best_change"),
+        (F.col("mean") - F.lag("mean").over(in_order)).alias("mean_change"))
 
 
 def scaffold_share(top: DataFrame, scaffold: Column, k: int = 1) -> DataFrame:

@@ -84,7 +84,10 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column], ra
     out = ranked.withColumn(rank, F.col("_at") + 1)
     if percent:
         sizes = ranked.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
-        out = out.join(sizes, list(group)).withColumn(
+        on = F.lit(True)
+        for g in group:  # a null group is a group
+            on = on & F.col(f"o.{g}").eqNullSafe(F.col(f"s.{g}"))
+        out = out.alias("o").join(sizes.alias("s"), on).select("o.*", "_size").withColumn(
             percent, F.when(F.col("_size") > 1, F.col("_at") / (F.col("_size") - 1)).otherwise(F.lit(0.0))
         ).drop("_size")
     return out.drop("_at")

@@ -59,15 +59,20 @@ def unify_scores(screening: DataFrame, predictions: DataFrame, gold: DataFrame,
     """Proxy score on every predicted row, then the measured one where a valid label exists.
 
     Predictions and labels are stacked and reduced per key in one shuffle, and the wide table is
-    joined once.
+    joined once. Two predictions for one row are an error, raised when the row is reached.
     """
     p = predictions.select(key, F.struct(F.col("predicted_delta_g").alias("v")).alias("p"))
     g = gold.filter(F.col("delta_g").isNotNull() & ~F.isnan("delta_g")).select(
         key, F.struct(F.col("delta_g").alias("v")).alias("g"))
-    scores = p.unionByName(g, allowMissingColumns=True).groupBy(key).agg(F.min("p").alias("_p"), F.min("g").alias("_g"))
+    scores = p.unionByName(g, allowMissingColumns=True).groupBy(key).agg(
+        F.min("p").alias("_p"), F.min("g").alias("_g"), F.count("p").alias("_n"))
     out = screening.join(scores, key, "left")
+    predicted = F.when(
+        F.col("_n") > 1,
+        F.raise_error(F.concat(F.lit("several predictions match "), F.col(key).cast("string"))).cast("boolean"),
+    ).otherwise(F.col("_p").isNotNull())
     score = F.when(F.col("_g").isNotNull(), F.col("_g.v")).when(F.col("_p").isNotNull(), F.col("_p.v"))
     method = F.when(F.col("_g").isNotNull(), GOLD_METHOD).when(F.col("_p").isNotNull(), PROXY_METHOD)
-    untouched = F.col("_g").isNull() & F.col("_p").isNull()
+    untouched = ~predicted & F.col("_g").isNull()
     return out.withColumn("final_score", F.when(untouched, F.col("final_score")).otherwise(score)).withColumn(
         "score_method", F.when(untouched, F.col("score_method")).otherwise(method)).select(*screening.columns)

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from assaylake.session import materialize
+
 
 def score_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], batch_size: int,
                   out_schema: T.StructType | str, keys: Sequence[str] = ("smiles",),
@@ -70,7 +72,8 @@ def with_properties(df: DataFrame, fn: Callable[[str], dict | None], returns: T.
                     c: str = "smiles") -> tuple[DataFrame, DataFrame]:
     """(valid rows with the property columns, one row with the numbers of valid and dropped rows)."""
     schema = T.StructType.fromDDL(returns) if isinstance(returns, str) else returns
-    scored = df.withColumn("_p", property_udf(fn, schema)(F.col(c)))
+    # written once, so that the function runs once per row
+    scored = materialize(df.withColumn("_p", property_udf(fn, schema)(F.col(c))), "properties")
     bad = F.lit(True)
     for f in schema.fields:
         bad = bad & F.col(f"_p.{f.name}").isNull()

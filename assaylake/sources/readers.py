@@ -83,16 +83,17 @@ def _headers(spark: SparkSession, path_glob: str, mixed: bool) -> list[tuple[str
 
 
 def read_score_shards(spark: SparkSession, path_globs: str | list[str], schema: T.StructType,
-                      mixed_headers: bool = True) -> DataFrame:
+                      mixed_headers: bool = True, path_col: str | None = None) -> DataFrame:
     """Many CSV shards with headers as one frame, columns matched by name.
 
     The first lines of the files are read, and files with equal headers are scanned together; a
     column a file lacks is null, an unreadable file is skipped, no file at all gives an empty frame,
     NaN becomes null. With ``mixed_headers=False`` every file of a glob must have the header of the
     first one: that saves the pass over the first lines, and a file with another header or one that
-    cannot be read is an error.
+    cannot be read is an error. ``path_col`` names a column for the path of a row's file.
     """
-    out = spark.createDataFrame([], schema)
+    extra = [F.col("_metadata.file_path").alias(path_col)] if path_col else []
+    out = spark.createDataFrame([], T.StructType([*schema.fields, *([T.StructField(path_col, T.StringType())] if path_col else [])]))
     for glob in [path_globs] if isinstance(path_globs, str) else path_globs:
         try:
             headers = _headers(spark, glob, mixed_headers)
@@ -106,7 +107,7 @@ def read_score_shards(spark: SparkSession, path_globs: str | list[str], schema:
             part = (spark.read.schema(text).option("header", "true").option("enforceSchema", "true" if mixed_headers else "false")
                     .option("escape", '"').option("ignoreCorruptFiles", "true" if mixed_headers else "false").csv(paths))
             by_lower = {c.lower(): c for c in cols}
-            out = out.unionByName(part.select(*[_typed(by_lower.get(f.name.lower()), f) for f in schema.fields]))
+            out = out.unionByName(part.select(*[_typed(by_lower.get(f.name.lower()), f) for f in schema.fields], *extra))
     return out
 
 
@@ -132,12 +133,12 @@ def read_molecules(spark: SparkSession, path: str, column: str = "smiles") -> Da
         return spark.createDataFrame([], "row_no bigint, smiles string")
     first = head[0]["value"]
     fields = [f.strip() for f in first.split(",")]
+    lines = read_lines(spark, path)
     if column in fields:
-        rows = spark.read.option("header", "true").option("multiLine", "false").schema(
-            T.StructType([T.StructField(f or f"_c{i}", T.StringType()) for i, f in enumerate(fields)])).csv(path)
-        out = rows.select(F.monotonically_increasing_id().alias("row_no"), S.strip(F.col(f"`{column}`")).alias("smiles"))
+        names = T.StructType([T.StructField(f or f"_c{i}", T.StringType()) for i, f in enumerate(fields)])
+        value = F.from_csv("line", names.toDDL(), {"escape": '"'})[column]
+        out = lines.filter(F.col("line_no") > 0).select(F.col("line_no").alias("row_no"), S.strip(value).alias("smiles"))
         return out.filter(F.length("smiles") > 0)
-    lines = read_lines(spark, path)
     text = S.strip(F.col("line"))
     parts = F.split(text, ",")
     if column in first.lower():
@@ -151,15 +152,15 @@ def read_molecules(spark: SparkSession, path: str, column: str = "smiles") -> Da
 def read_keyed_results(spark: SparkSession, path_glob: str, pattern: str = r"batch_(\d+)[^/]*") -> DataFrame:
     """Label results whose path names the batch: (batch_id, mol_index, delta_g, status).
 
-    The first column holds the molecule's place in its batch. A missing value is null with status
-    as given; a missing status is ``Unknown``.
+    Columns are matched by name, whatever their order in a file; ``SMILES`` holds the molecule's place
+    in its batch. A missing value is null with status as given; a missing status is ``Unknown``.
     """
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("SMILES", "DeltaG", "Status")])
-    rows = spark.read.schema(schema).option("header", "true").csv(path_glob)
+    schema = T.StructType.fromDDL("SMILES string, DeltaG double, Status string")
+    rows = read_score_shards(spark, path_glob, schema, path_col="_path")
     return rows.select(
-        F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).try_cast("bigint").alias("batch_id"),
+        F.regexp_extract(F.col("_path"), pattern, 1).try_cast("bigint").alias("batch_id"),
         F.col("SMILES").alias("mol_index"),
-        S.to_number(F.col("DeltaG")).alias("delta_g"),
+        F.col("DeltaG").alias("delta_g"),
         F.coalesce("Status", F.lit("Unknown")).alias("status"),
     )
 

@@ -102,3 +102,15 @@ def test_rank_within_groups_with_null_group(spark):
     df = spark.createDataFrame(data, "g string, v int")
     got = rows(I.with_row_index(df, [F.col("v").asc()], ["g"]), "g", "v", "row_index")
     assert set(got) == {(None, 1, 0), (None, 3, 1), ("a", 4, 0), ("a", 5, 1), ("a", 9, 2)}
+
+
+def test_trend_over_gaps_and_equal_numbers(spark):
+    df = spark.createDataFrame([("cycle1", 1.0), ("dev1", 2.0), ("cycle2", 4.0), ("cycle4", 8.0), ("cycle10", 9.0)], "c string, s double")
+    got = A.trend_by_iteration(df, "c", F.col("s"))
+    assert rows(got, "c", "best_change") == [("cycle1", None), ("cycle10", 1.0), ("cycle2", 2.0), ("cycle4", 4.0), ("dev1", 1.0)]
+
+
+def test_percent_rank_keeps_a_null_group(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "g string, x int")
+    got = I.rank_within(df, ["g"], [F.col("x").asc()])
+    assert rows(got, "g", "x", "rank_in_run", "percent_rank") == [("a", 3, 1, 0.0), (None, 1, 1, 0.0), (None, 2, 2, 1.0)]

@@ -79,3 +79,11 @@ def test_unify_scores_precedence(spark):
     once = M.unify_scores(scr, pred, gold)
     assert rows(once, "*") == [("a", -1.0, "xgboost"), ("b", -9.0, "gromacs"), ("c", 7.0, "old"), ("d", None, "xgboost")]
     assert rows(M.unify_scores(once, pred, gold), "*") == rows(once, "*")
+
+
+def test_unify_scores_refuses_two_predictions(spark):
+    scr = spark.createDataFrame([("a", 7.0, "old")], "molecule_hash string, final_score double, score_method string")
+    pred = spark.createDataFrame([("a", -1.0), ("a", -9.0)], "molecule_hash string, predicted_delta_g double")
+    gold = spark.createDataFrame([], "molecule_hash string, delta_g double")
+    with pytest.raises(Exception, match="several predictions match a"):
+        M.unify_scores(scr, pred, gold).collect()

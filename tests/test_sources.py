@@ -143,3 +143,15 @@ def test_append_with_new_columns(spark, tmp_path):
     spark.createDataFrame([("a",)], "molecule_hash string").write.parquet(f"{tmp_path}/s")
     grown = W.append_with_new_columns(spark.createDataFrame([("b", 1.0)], "molecule_hash string, final_score double"), f"{tmp_path}/s")
     assert rows(grown, "molecule_hash", "final_score") == [("a", None), ("b", 1.0)]
+
+
+def test_keyed_results_by_column_name(spark, tmp_path):
+    (tmp_path / "batch_1_results.csv").write_text("Status,SMILES,DeltaG\nSuccess,mol_0,-5.5\n")
+    (tmp_path / "batch_2_results.csv").write_text("SMILES,Status\nmol_1,Failed\n")
+    got = rows(R.read_keyed_results(spark, f"{tmp_path}/*_results.csv"), "batch_id", "mol_index", "delta_g", "status")
+    assert got == [(1, "mol_0", -5.5, "Success"), (2, "mol_1", None, "Failed")]
+
+
+def test_molecules_of_a_csv_have_line_numbers(spark, tmp_path):
+    (tmp_path / "m.csv").write_text('id,smiles\n1,"C,C"\n2,\n3,CO\n')
+    assert rows(R.read_molecules(spark, f"{tmp_path}/m.csv"), "row_no", "smiles") == [(1, "C,C"), (3, "CO")]
