@@ -8,6 +8,8 @@ that makes up a third of the rows is one set, and the pairs among its copies are
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,12 +17,13 @@ from assaylake.functions.fingerprints import overlap
 from assaylake.session import materialize, small_side
 
 SKETCH = 1 << 18
-_SCALE = 1_000_000  # thresholds are compared as integers, never as rounded quotients
+STEPS = (0.5, 0.25, 0.1)  # thresholds tried before all pairs with a common bit
 
 
 def _at_least(both: Column, size_a: Column, size_b: Column, min_sim: float) -> Column:
     union = size_a + size_b - both
-    return both.cast("bigint") * F.lit(_SCALE) >= union.cast("bigint") * F.lit(round(min_sim * _SCALE))
+    t = Fraction(min_sim).limit_denominator(1_000_000)  # 2/3 is two thirds; whole numbers are compared
+    return both.cast("bigint") * F.lit(t.denominator) >= union.cast("bigint") * F.lit(t.numerator)
 
 
 def distinct_sets(df: DataFrame, id_col: str, fp: str) -> tuple[DataFrame, DataFrame]:
@@ -142,11 +145,19 @@ def similarity_join(a: DataFrame, b: DataFrame | None, min_sim: float, id_col: s
 
 
 def max_similarity(a: DataFrame, previous: DataFrame, min_sim: float, id_col: str, fp: str = "fp") -> DataFrame:
-    """(id, max_sim) for every row of ``a``: the best similarity to a previous set, 0 below min_sim."""
+    """(id, max_sim) for every row of ``a``: the best similarity to a previous set, 0 below min_sim.
+
+    ``min_sim=0`` gives the true maximum. The threshold falls step by step: a set with a partner above
+    a threshold has its best one there, so only the others go on to the next, dearer step.
+    """
     sets_a, members = distinct_sets(a, id_col, fp)
     sets_b, _ = distinct_sets(previous, id_col, fp)
-    best = set_pairs(sets_a, sets_b, min_sim).groupBy(F.col("set_a").alias("set_id")).agg(
-        F.max(_similarity(F.col("inter"), F.col("size_a"), F.col("size_b"))).alias("max_sim"))
+    left, sets_b, best = materialize(sets_a, "sets"), materialize(sets_b, "sets"), None
+    for t in [*[s for s in STEPS if s > min_sim], min_sim]:
+        found = materialize(set_pairs(left, sets_b, t).groupBy(F.col("set_a").alias("set_id")).agg(
+            F.max(_similarity(F.col("inter"), F.col("size_a"), F.col("size_b"))).alias("max_sim")), "best")
+        best = found if best is None else best.unionByName(found)
+        left = materialize(left.join(found, "set_id", "left_anti"), "sets")
     found = members.join(best, "set_id").select(id_col, "max_sim")
     return a.select(id_col).join(found, id_col, "left").withColumn("max_sim", F.coalesce("max_sim", F.lit(0.0)))
 

@@ -8,7 +8,6 @@ from assaylake.functions import fingerprints as FP
 from assaylake.functions import predicates as P
 from assaylake.functions import scalars as S
 from assaylake.operators import joins as J
-from assaylake.operators import selection as G
 from assaylake.operators import similarity as Z
 from assaylake.operators.aggregates import validation_metrics, value_counts
 from assaylake.operators.pareto import pareto_front
@@ -98,11 +97,9 @@ def _(spark, sf):
 
 @query("j4_leaderboard", """
     SELECT r.smiles, g.delta_g, g.method, s.docking_score, s.qed_score, g.molecule_hash
-    FROM registry r JOIN gold g USING (molecule_hash) LEFT JOIN screening s USING (molecule_hash)
-    ORDER BY g.delta_g, g.molecule_hash LIMIT 100""")
+    FROM registry r JOIN gold g USING (molecule_hash) LEFT JOIN screening s USING (molecule_hash)""")
 def _(spark, sf):
-    board = J.leaderboard(T.registry(spark, sf), T.gold(spark, sf), T.screening(spark, sf))
-    return G.top_k(board, 100, "delta_g")
+    return J.leaderboard(T.registry(spark, sf), T.gold(spark, sf), T.screening(spark, sf))
 
 
 @query("j5_comprehensive", """
@@ -227,8 +224,7 @@ _MAX_SIM_SQL = _FP_CTE + """,
          inter AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM post a JOIN new USING (doc_id)
                    JOIN (SELECT * FROM post JOIN old USING (doc_id)) b ON a.bit = b.bit GROUP BY ALL),
          sim AS (SELECT x AS doc_id, max(CAST(shared AS DOUBLE) / (sa.size + sb.size - shared)) AS max_sim
-                 FROM inter JOIN sets sa ON sa.doc_id = x JOIN sets sb ON sb.doc_id = y
-                 WHERE shared * 100 >= 50 * (sa.size + sb.size - shared) GROUP BY 1)"""
+                 FROM inter JOIN sets sa ON sa.doc_id = x JOIN sets sb ON sb.doc_id = y GROUP BY 1)"""
 
 
 @query("f8_novel", _MAX_SIM_SQL + """
@@ -236,7 +232,7 @@ _MAX_SIM_SQL = _FP_CTE + """,
     WHERE coalesce(max_sim, 0.0) <= 0.7""")
 def _(spark, sf):
     new, old = previous_elite(spark, sf)
-    near = Z.max_similarity(new, old, 0.5, "doc_id")
+    near = Z.max_similarity(new, old, 0.0, "doc_id")
     return near.filter(P.novel()).withColumn("max_sim", F.round("max_sim", 9))
 
 
@@ -245,7 +241,7 @@ def _(spark, sf):
     FROM new n JOIN screening_raw s ON s.seq = n.doc_id LEFT JOIN sim ON sim.doc_id = n.doc_id""")
 def _(spark, sf):
     new, old = previous_elite(spark, sf)
-    near = Z.max_similarity(new, old, 0.5, "doc_id")
+    near = Z.max_similarity(new, old, 0.0, "doc_id")
     scores = T.screening_raw(spark, sf).select(F.col("seq").alias("doc_id"), "docking_score")
     return near.join(scores, "doc_id").select(
         "doc_id", F.round(S.similarity_penalty(F.col("docking_score"), F.col("max_sim"), 10.0), 6).alias("penalised"))

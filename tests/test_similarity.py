@@ -120,3 +120,14 @@ def test_minhash_pairs_are_true_pairs(spark):
     df = spark.createDataFrame([(i, Vectors.sparse(30, s, [1.0] * len(s))) for i, s in enumerate(sets)], ["id", "v"])
     for a, b, s in rows(Z.approx_similarity_pairs(df, 0.6, "id", "v"), "id_a", "id_b", "sim"):
         assert s == pytest.approx(len(set(sets[a]) & set(sets[b])) / len(set(sets[a]) | set(sets[b]))) and s >= 0.6 - 1e-9
+
+
+def test_two_thirds_is_exact(spark):
+    df = spark.createDataFrame([(1, [1, 2]), (2, [1, 2, 3])], "id int, fp array<int>")
+    assert len(Z.similarity_join(df, None, 2 / 3, "id").collect()) == 1
+
+
+def test_true_maximum_below_every_step(spark):
+    new = spark.createDataFrame([(1, [1, 2, 3]), (2, list(range(10, 30))), (3, [99])], "id int, fp array<int>")
+    old = spark.createDataFrame([(7, [1, 2, 3, 4]), (8, list(range(29, 60)))], "id int, fp array<int>")
+    assert rows(Z.max_similarity(new, old, 0.0, "id"), "id", "max_sim") == [(1, 0.75), (2, 1 / 50), (3, 0.0)]
