@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,7 @@ HUBS, TILE = 64, 256  # of a larger bucket: texts that all others are compared w
 KEY_BUCKETS = 1 << 20
 _DRAWS = 1 << 16
 _SLACK = 1e-9
+LINK = 1 - SIMILARITY + _SLACK  # largest distance of a link
 
 
 @dataclass
@@ -193,27 +195,60 @@ def _distances(batches: Iterator[pa.RecordBatch], idf: Idf) -> Iterator[pa.Recor
 
 
 def _tile_links(tile: pa.Table, idf: Idf) -> pa.Table:
-    """Links between a tile's hubs and all its texts; one row (k, null) for each text that no hub is linked to."""
+    """(bucket, hub, k, d) for a tile's texts up to twice the distance of a link from a hub; with null hub each that no hub is linked to."""
     tile = tile.combine_chunks()
     keys, hub = tile.column("k").to_pylist(), np.asarray(tile.column("hub"))
     v, r, n = row_counts(*shingles(words_of(tile.column("text")), SHINGLE))
     s = idf.weigh(v, n)
     total = np.bincount(r, s, tile.num_rows)
     first = np.searchsorted(r, np.arange(tile.num_rows + 1))
-    links, linked = [], np.zeros(tile.num_rows, dtype=bool)
+    found, linked = [], np.zeros(tile.num_rows, dtype=bool)
     for h in np.flatnonzero(hub):
         hv, hs = v[first[h]:first[h + 1]], s[first[h]:first[h + 1]]
         at = np.minimum(np.searchsorted(hv, v), len(hv) - 1)
         hit = np.flatnonzero(hv[at] == v)
         shared = np.bincount(r[hit], np.minimum(hs[at[hit]], s[hit]), tile.num_rows)
-        near = 1 - shared / (total + total[h] - shared) <= 1 - SIMILARITY + _SLACK
-        near[h] = False
-        linked |= near
-        links += [(min(keys[h], keys[x]), max(keys[h], keys[x])) for x in np.flatnonzero(near)]
-    links += [(keys[x], None) for x in np.flatnonzero(~linked & ~hub)]
+        d = 1 - shared / (total + total[h] - shared)
+        d[h] = np.inf
+        linked |= d <= LINK
+        found += [(keys[h], keys[x], d[x]) for x in np.flatnonzero(d <= 2 * LINK)]
+    found += [(None, keys[x], None) for x in np.flatnonzero(~linked & ~hub)]
     bucket = tile.column("bucket")[0].as_py()
-    return pa.table({"bucket": pa.array([bucket] * len(links), pa.int64()), "a": pa.array([x for x, _ in links], pa.binary()),
-                     "b": pa.array([y for _, y in links], pa.binary())})
+    return pa.table({"bucket": pa.array([bucket] * len(found), pa.int64()), "hub": pa.array([x for x, _, _ in found], pa.binary()),
+                     "k": pa.array([x for _, x, _ in found], pa.binary()), "d": pa.array([x for _, _, x in found], pa.float64())})
+
+
+_TILE = "bucket bigint, hub binary, k binary, d double"
+
+
+def _across_classes(tiles: DataFrame, links: DataFrame, texts: DataFrame, shared) -> DataFrame:
+    """(a, b) links between two texts of a crowded bucket that no hub compared, where their classes are not one already.
+
+    1 - weighted Jaccard is a metric: if x is linked to its nearest hub at d(x) and y to x, then y is
+    at most d(x) + 0.2 from that hub, so ``tiles`` has the row of y. Only such y of another class
+    than the hub's are compared with the hub's texts, 64 of them with 256 texts in a task.
+    """
+    roots = components(links)
+    of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+    far = tiles.filter(F.col("d") > LINK).distinct().join(of("hub"), "hub", "left").join(of("k"), "k", "left")
+    apart = F.coalesce("hub_root", "hub") != F.coalesce("k_root", "k")
+    others = materialize(far.filter(apart).select("bucket", "hub", "k", "d"), "others")
+    own = tiles.filter(F.col("d") <= LINK).groupBy("bucket", "k").agg(F.min(F.struct("d", "hub")).alias("n")).select("bucket", "n.hub", "k", "n.d")
+    own = materialize(own.join(others.select("bucket", "hub").distinct(), ["bucket", "hub"], "left_semi"), "own")
+    reach = own.groupBy("bucket", "hub").agg(F.max("d").alias("most"))
+    others = others.join(reach, ["bucket", "hub"]).filter(F.col("d") <= F.col("most") + LINK).drop("most")
+    ends = others.groupBy("bucket", "hub").agg(F.min("d").alias("least"), F.count(F.lit(1)).alias("ny"))
+    own = own.join(ends, ["bucket", "hub"]).filter(F.col("d") >= F.col("least") - LINK)
+    sizes = materialize(own.groupBy("bucket", "hub").agg(
+        F.ceil(F.max("ny") / HUBS).alias("chunks"), F.ceil(F.count(F.lit(1)) / TILE).alias("tiles")), "sizes")
+    deal = lambda n: F.pmod(F.xxhash64("k"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    x = own.select("bucket", "hub", "k").join(sizes, ["bucket", "hub"]).select(
+        "bucket", F.col("hub").alias("of"), "k", deal("tiles").alias("tile"), every("chunks").alias("chunk"), F.lit(False).alias("hub"))
+    y = others.select("bucket", "hub", "k").join(sizes, ["bucket", "hub"]).select(
+        "bucket", F.col("hub").alias("of"), "k", every("tiles").alias("tile"), deal("chunks").alias("chunk"), F.lit(True).alias("hub"))
+    out = x.unionByName(y).join(texts, "k").groupBy("bucket", "of", "chunk", "tile").applyInArrow(lambda t: _tile_links(t, shared.value), _TILE)
+    return out.filter(F.col("d") <= LINK).select(F.least("hub", "k").alias("a"), F.greatest("hub", "k").alias("b"))
 
 
 def near_duplicate_links(keyed: DataFrame, signed: DataFrame, idf: Idf) -> DataFrame:
@@ -224,12 +259,14 @@ def near_duplicate_links(keyed: DataFrame, signed: DataFrame, idf: Idf) -> DataF
     texts, drawn anew for every bucket, are its hubs; the others are dealt into tiles of 256, and each tile
     is compared with the hubs in one task. Texts that no hub is linked to go on to a next round among
     themselves, until none are left. So a task holds 320 texts, and a bucket of n texts costs about
-    64 n comparisons a round.
+    64 n comparisons a round. In the end texts of different hubs are compared wherever they can be
+    linked and are not yet in one class. The links therefore give the classes of all links; pairs
+    within a class that need no comparison are not listed.
     """
     spark = keyed.sparkSession
     live = materialize(signed.select("k", F.explode("bands").alias("bucket")), "bands")
     shared = spark.sparkContext.broadcast(idf)
-    texts, links = None, []
+    texts, links, tiled = None, [], []
     while True:
         sizes = materialize(live.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
         members = materialize(live.join(sizes, "bucket"), "members")
@@ -246,7 +283,7 @@ def near_duplicate_links(keyed: DataFrame, signed: DataFrame, idf: Idf) -> DataF
         first, second = (texts.select(F.col("k").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
         rows = pairs.join(first, "a").join(second, "b").select("a", "b", "ta", "tb")
         found = rows.mapInArrow(lambda it: _distances(it, shared.value), "a binary, b binary, d double")
-        links.append(materialize(found.filter(F.col("d") <= 1 - SIMILARITY + _SLACK).select("a", "b"), "links"))
+        links.append(materialize(found.filter(F.col("d") <= LINK).select("a", "b"), "links"))
 
         large = members.filter(F.col("n") > SMALL_BUCKET).withColumn("draw", F.xxhash64("k", "bucket"))
         if not large.take(1):
@@ -261,16 +298,17 @@ def near_duplicate_links(keyed: DataFrame, signed: DataFrame, idf: Idf) -> DataF
             "bucket", "k", F.pmod(F.xxhash64("k"), tiles).alias("tile"), F.lit(False).alias("hub"))
         every = hubs.select("bucket", "k", F.explode(F.sequence(F.lit(0).cast("bigint"), tiles - 1)).alias("tile"), F.lit(True).alias("hub"))
         dealt = others.unionByName(every).join(texts, "k")
-        out = dealt.groupBy("bucket", "tile").applyInArrow(lambda t: _tile_links(t, shared.value), "bucket bigint, a binary, b binary")
+        out = dealt.groupBy("bucket", "tile").applyInArrow(lambda t: _tile_links(t, shared.value), _TILE)
         out = materialize(out, "tiles")
-        links.append(out.filter(F.col("b").isNotNull()).select("a", "b"))
-        live = materialize(out.filter(F.col("b").isNull()).select(F.col("a").alias("k"), "bucket"), "bands")
+        tiled.append(out.filter(F.col("hub").isNotNull()))
+        links.append(tiled[-1].filter(F.col("d") <= LINK).select(F.least("hub", "k").alias("a"), F.greatest("hub", "k").alias("b")))
+        live = materialize(out.filter(F.col("hub").isNull()).select("k", "bucket"), "bands")
     if not links:
         return live.select(F.col("k").alias("a"), F.col("k").alias("b")).limit(0)
-    every = links[0]
-    for more in links[1:]:
-        every = every.union(more)
-    return every.distinct()
+    every = materialize(reduce(DataFrame.union, links).distinct(), "links")
+    if not tiled:
+        return every
+    return every.union(_across_classes(reduce(DataFrame.union, tiled), every, texts, shared)).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

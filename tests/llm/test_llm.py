@@ -158,6 +158,32 @@ def test_near_duplicates_against_all_pairs(spark, docs, monkeypatch):
     assert sorted(r.doc_id for r in near_dedup.keep_one_of_each(frame).collect()) == sorted(set(root))
 
 
+def test_crowded_bucket_loses_no_class(spark, monkeypatch):
+    """Chains of texts in one bucket: neighbours are linked, and texts linked to different hubs join their classes."""
+    monkeypatch.setattr(near_dedup, "HUBS", 2)
+    monkeypatch.setattr(near_dedup, "TILE", 4)
+    monkeypatch.setattr(near_dedup, "SMALL_BUCKET", 2)
+    starts = [*range(0, 60, 5), *range(75, 120, 5), *range(130, 160, 5)]  # steps of 5 are links, gaps of 20 and 15 are not
+    texts = [" ".join(f"c{chain}w{x}" for x in range(at, at + 60)) for chain in range(2) for at in starts]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id bigint, text string")
+    keyed = frame.select("id", near_dedup.text_key(frame.text).alias("k"), "text").cache()
+    name = {bytes(r.k): r.id for r in keyed.collect()}
+    idf = near_dedup.fit_idf(frame.select("text"))
+    v, r, times = words.row_counts(*words.shingles(words.words_of(pa.array(texts))))
+    sets = [dict(zip(v[r == i], idf.weigh(v[r == i], times[r == i]), strict=True)) for i in range(len(texts))]
+    want = list(range(len(texts)))
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        low = sum(min(sets[a][x], sets[b][x]) for x in sets[a].keys() & sets[b].keys())
+        if low / (sum(sets[a].values()) + sum(sets[b].values()) - low) >= 0.8:
+            want = [min(want[a], want[b]) if c in (want[a], want[b]) else c for c in want]
+    signed = keyed.selectExpr("k", "array(1L) AS bands")
+    got = list(range(len(texts)))
+    for row in near_dedup.near_duplicate_links(keyed.select("k", "text"), signed, idf).collect():
+        x, y = got[name[bytes(row.a)]], got[name[bytes(row.b)]]
+        got = [min(x, y) if c in (x, y) else c for c in got]
+    assert got == want and len(set(want)) == 6
+
+
 def test_near_duplicates_odd_rows(docs):
     got = near_dedup.near_duplicates(docs).collect()
     assert len(got) == len(DOCS) and sum(r.class_size == 3 for r in got) == 3
