@@ -16,7 +16,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaylake.llm.components import components
@@ -30,7 +30,7 @@ RARE_SHARE = 1e-3  # shingles in fewer documents than this share all have the la
 IDF_RANGE = 0.5  # how far the idf of a rare shingle exceeds that of one in every document
 SEGMENT = 3_000_000  # shingles counted at once in a task
 SMALL_BUCKET = 8  # a bucket's texts up to this number go to the pair table
-HUBS, TILE = 64, 256  # of a larger bucket: texts that all others are compared with, and others in one task's tile
+HUBS, TILE = 64, 256  # in one task, of a bucket larger than both: texts that all others are compared with, and others
 KEY_BUCKETS = 1 << 20
 _DRAWS = 1 << 16
 _SLACK = 1e-9
@@ -194,25 +194,51 @@ def _distances(batches: Iterator[pa.RecordBatch], idf: Idf) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(1 - shared / np.maximum(total, 1e-12))], ["a", "b", "d"])
 
 
+class _Sets:
+    """The weighted sets of a task's texts, and distances from one of them to all."""
+
+    def __init__(self, texts: pa.ChunkedArray | pa.Array, idf: Idf):
+        self.n = len(texts)
+        self.v, self.r, times = row_counts(*shingles(words_of(texts), SHINGLE))
+        self.s = idf.weigh(self.v, times)
+        self.total = np.bincount(self.r, self.s, self.n)
+        self.first = np.searchsorted(self.r, np.arange(self.n + 1))
+
+    def distances(self, h: int) -> np.ndarray:
+        """1 - weighted Jaccard similarity of text ``h`` and each text; infinite to itself."""
+        hv, hs = self.v[self.first[h]:self.first[h + 1]], self.s[self.first[h]:self.first[h + 1]]
+        at = np.minimum(np.searchsorted(hv, self.v), len(hv) - 1)
+        hit = np.flatnonzero(hv[at] == self.v)
+        shared = np.bincount(self.r[hit], np.minimum(hs[at[hit]], self.s[hit]), self.n)
+        d = 1 - shared / (self.total + self.total[h] - shared)
+        d[h] = np.inf
+        return d
+
+
+def _whole_links(bucket: pa.Table, idf: Idf) -> pa.Table:
+    """(a, b) links that join the texts of a bucket of bounded size into the classes of all its links."""
+    bucket = bucket.combine_chunks()
+    keys, sets = bucket.column("k").to_pylist(), _Sets(bucket.column("text"), idf)
+    of, found = np.arange(sets.n), []
+    for h in range(sets.n):
+        if (of == of[h]).all():
+            break
+        near = np.flatnonzero((sets.distances(h) <= LINK) & (of != of[h]))
+        classes, one = np.unique(of[near], return_index=True)
+        found += [(keys[h], keys[x]) for x in near[one]]
+        of[np.isin(of, classes)] = of[h]
+    return pa.table({c: pa.array([f[i] for f in found], pa.binary()) for i, c in enumerate("ab")})
+
+
 def _tile_links(tile: pa.Table, idf: Idf) -> pa.Table:
-    """(bucket, hub, k, d) for a tile's texts up to twice the distance of a link from a hub; with null hub each that no hub is linked to."""
+    """(bucket, hub, k, d) for a tile's texts up to twice the distance of a link from a hub; pairs of hubs in tile 0 only."""
     tile = tile.combine_chunks()
-    keys, hub = tile.column("k").to_pylist(), np.asarray(tile.column("hub"))
-    v, r, n = row_counts(*shingles(words_of(tile.column("text")), SHINGLE))
-    s = idf.weigh(v, n)
-    total = np.bincount(r, s, tile.num_rows)
-    first = np.searchsorted(r, np.arange(tile.num_rows + 1))
-    found, linked = [], np.zeros(tile.num_rows, dtype=bool)
+    keys, hub, sets = tile.column("k").to_pylist(), np.asarray(tile.column("hub")), _Sets(tile.column("text"), idf)
+    wanted = ~hub | (tile.column("tile")[0].as_py() == 0)
+    found = []
     for h in np.flatnonzero(hub):
-        hv, hs = v[first[h]:first[h + 1]], s[first[h]:first[h + 1]]
-        at = np.minimum(np.searchsorted(hv, v), len(hv) - 1)
-        hit = np.flatnonzero(hv[at] == v)
-        shared = np.bincount(r[hit], np.minimum(hs[at[hit]], s[hit]), tile.num_rows)
-        d = 1 - shared / (total + total[h] - shared)
-        d[h] = np.inf
-        linked |= d <= LINK
-        found += [(keys[h], keys[x], d[x]) for x in np.flatnonzero(d <= 2 * LINK)]
-    found += [(None, keys[x], None) for x in np.flatnonzero(~linked & ~hub)]
+        d = sets.distances(h)
+        found += [(keys[h], keys[x], d[x]) for x in np.flatnonzero((d <= 2 * LINK) & wanted)]
     bucket = tile.column("bucket")[0].as_py()
     return pa.table({"bucket": pa.array([bucket] * len(found), pa.int64()), "hub": pa.array([x for x, _, _ in found], pa.binary()),
                      "k": pa.array([x for _, x, _ in found], pa.binary()), "d": pa.array([x for _, _, x in found], pa.float64())})
@@ -221,16 +247,23 @@ def _tile_links(tile: pa.Table, idf: Idf) -> pa.Table:
 _TILE = "bucket bigint, hub binary, k binary, d double"
 
 
-def _across_classes(tiles: DataFrame, links: DataFrame, texts: DataFrame, shared) -> DataFrame:
+def _deal(of: Column | str, n: Column | str) -> Column:
+    return F.pmod(F.xxhash64(of), F.col(n) if isinstance(n, str) else n)
+
+
+def _every(n: str) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+
+
+def _across_classes(tiles: DataFrame, roots: DataFrame, texts: DataFrame, shared) -> DataFrame:
     """(a, b) links between two texts of a crowded bucket that no hub compared, where their classes are not one already.
 
     1 - weighted Jaccard is a metric: if x is linked to its nearest hub at d(x) and y to x, then y is
     at most d(x) + 0.2 from that hub, so ``tiles`` has the row of y. Only such y of another class
     than the hub's are compared with the hub's texts, 64 of them with 256 texts in a task.
     """
-    roots = components(links)
-    of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
-    far = tiles.filter(F.col("d") > LINK).distinct().join(of("hub"), "hub", "left").join(of("k"), "k", "left")
+    of = lambda c: roots.select(F.col("a").alias(c), F.col("b").alias(f"{c}_root"))
+    far = tiles.filter(F.col("d") > LINK).join(of("hub"), "hub", "left").join(of("k"), "k", "left")
     apart = F.coalesce("hub_root", "hub") != F.coalesce("k_root", "k")
     others = materialize(far.filter(apart).select("bucket", "hub", "k", "d"), "others")
     own = tiles.filter(F.col("d") <= LINK).groupBy("bucket", "k").agg(F.min(F.struct("d", "hub")).alias("n")).select("bucket", "n.hub", "k", "n.d")
@@ -241,34 +274,32 @@ def _across_classes(tiles: DataFrame, links: DataFrame, texts: DataFrame, shared
     own = own.join(ends, ["bucket", "hub"]).filter(F.col("d") >= F.col("least") - LINK)
     sizes = materialize(own.groupBy("bucket", "hub").agg(
         F.ceil(F.max("ny") / HUBS).alias("chunks"), F.ceil(F.count(F.lit(1)) / TILE).alias("tiles")), "sizes")
-    deal = lambda n: F.pmod(F.xxhash64("k"), F.col(n))
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
     x = own.select("bucket", "hub", "k").join(sizes, ["bucket", "hub"]).select(
-        "bucket", F.col("hub").alias("of"), "k", deal("tiles").alias("tile"), every("chunks").alias("chunk"), F.lit(False).alias("hub"))
+        "bucket", F.col("hub").alias("of"), "k", _deal("k", "tiles").alias("tile"), _every("chunks").alias("chunk"), F.lit(False).alias("hub"))
     y = others.select("bucket", "hub", "k").join(sizes, ["bucket", "hub"]).select(
-        "bucket", F.col("hub").alias("of"), "k", every("tiles").alias("tile"), deal("chunks").alias("chunk"), F.lit(True).alias("hub"))
+        "bucket", F.col("hub").alias("of"), "k", _every("tiles").alias("tile"), _deal("k", "chunks").alias("chunk"), F.lit(True).alias("hub"))
     out = x.unionByName(y).join(texts, "k").groupBy("bucket", "of", "chunk", "tile").applyInArrow(lambda t: _tile_links(t, shared.value), _TILE)
-    return out.filter(F.col("d") <= LINK).select(F.least("hub", "k").alias("a"), F.greatest("hub", "k").alias("b"))
+    return out.filter(F.col("d") <= LINK).select(F.col("hub").alias("a"), F.col("k").alias("b"))
 
 
 def near_duplicate_links(keyed: DataFrame, signed: DataFrame, idf: Idf) -> DataFrame:
-    """(a, b) keys of different texts of similarity 0.8 or more that share a band.
-
-    ``keyed`` has (k, text) of every document, ``signed`` (k, bands) of every distinct text. Texts of
-    buckets of up to 8 are all compared, a pair once whatever its buckets. Of a larger bucket 64
-    texts, drawn anew for every bucket, are its hubs; the others are dealt into tiles of 256, and each tile
-    is compared with the hubs in one task. Texts that no hub is linked to go on to a next round among
-    themselves, until none are left. So a task holds 320 texts, and a bucket of n texts costs about
-    64 n comparisons a round. In the end texts of different hubs are compared wherever they can be
-    linked and are not yet in one class. The links therefore give the classes of all links; pairs
-    within a class that need no comparison are not listed.
+    """(a, b): each text that is linked to another one, and the text that names its class.
+
+    A link is a pair of different texts of similarity 0.8 or more that share a band; a class is what links
+    join. ``keyed`` has (k, text) of every document, ``signed`` (k, bands) of every distinct text. Texts of
+    buckets of up to 8 are all compared, a pair once whatever its buckets; those of buckets of up to 320
+    in one task a bucket, without the pairs whose classes are one already. Of a larger bucket about 64
+    texts, drawn by a hash, are its hubs; all are dealt into tiles of about 256, and each tile is compared with
+    the hubs in one task. Texts that no hub is linked to go on to a next round among themselves with
+    twice as many hubs, 64 in a task, so the rounds are as many as the logarithm of the largest bucket. In the
+    end texts of different hubs are compared wherever they can be linked and are not yet in one class.
     """
     spark = keyed.sparkSession
     live = materialize(signed.select("k", F.explode("bands").alias("bucket")), "bands")
     shared = spark.sparkContext.broadcast(idf)
-    texts, links, tiled = None, [], []
+    texts, links, tiled, hubs = None, [], [], HUBS
     while True:
-        sizes = materialize(live.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
+        sizes = live.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         members = materialize(live.join(sizes, "bucket"), "members")
         if not members.take(1):
             break
@@ -277,38 +308,49 @@ def near_duplicate_links(keyed: DataFrame, signed: DataFrame, idf: Idf) -> DataF
             at = F.pmod(F.xxhash64("k"), F.lit(KEY_BUCKETS)).alias("_at")  # at most 2^20 numbers go to the tasks
             near = keyed.withColumn("_at", at).join(F.broadcast(keys.select(at).distinct()), "_at", "left_semi").select("k", "text")
             texts = materialize(near.join(keys.hint("merge"), "k", "left_semi").dropDuplicates(["k"]), "texts")
-        small = members.filter(F.col("n") <= SMALL_BUCKET)
-        pairs = small.alias("x").join(small.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.k") < F.col("y.k")))
-        pairs = pairs.select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).distinct()
-        first, second = (texts.select(F.col("k").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
-        rows = pairs.join(first, "a").join(second, "b").select("a", "b", "ta", "tb")
-        found = rows.mapInArrow(lambda it: _distances(it, shared.value), "a binary, b binary, d double")
-        links.append(materialize(found.filter(F.col("d") <= LINK).select("a", "b"), "links"))
-
-        large = members.filter(F.col("n") > SMALL_BUCKET).withColumn("draw", F.xxhash64("k", "bucket"))
+            small = members.filter(F.col("n") <= SMALL_BUCKET)
+            pairs = small.alias("x").join(small.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.k") < F.col("y.k")))
+            pairs = pairs.select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).distinct()
+            first, second = (texts.select(F.col("k").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
+            rows = pairs.join(first, "a").join(second, "b").select("a", "b", "ta", "tb")
+            found = rows.mapInArrow(lambda it: _distances(it, shared.value), "a binary, b binary, d double")
+            links.append(materialize(found.filter(F.col("d") <= LINK).select("a", "b"), "links"))
+            members = members.filter(F.col("n") > SMALL_BUCKET)
+        whole = members.filter(F.col("n") <= HUBS + TILE).join(texts, "k").select("bucket", "k", "text")
+        links.append(materialize(whole.groupBy("bucket").applyInArrow(lambda t: _whole_links(t, shared.value), "a binary, b binary"), "links"))
+
+        large = members.filter(F.col("n") > HUBS + TILE).withColumn("step", F.ceil(F.col("n") / hubs)).select(
+            "bucket", "k", (F.pmod(F.xxhash64("k", "bucket", F.lit(hubs)), F.col("step")) == 0).alias("hub"),
+            F.ceil(F.col("n") / F.col("step") / HUBS).alias("chunks"), F.ceil(F.col("n") / TILE).alias("tiles"))
         if not large.take(1):
             break
-        # at most 64 of a bucket come from each of its parts, and 64 of those in the end
-        part = Window.partitionBy("bucket", F.pmod("draw", F.lit(1024))).orderBy("draw", "k")
-        drawn = large.withColumn("_r", F.row_number().over(part)).filter(F.col("_r") <= HUBS)
-        hubs = drawn.withColumn("_r", F.row_number().over(Window.partitionBy("bucket").orderBy("draw", "k"))).filter(F.col("_r") <= HUBS)
-        hubs = materialize(hubs.select("bucket", "k", "n"), "hubs")
-        tiles = F.ceil(F.col("n") / TILE).cast("bigint")
-        others = large.join(hubs.select("bucket", "k"), ["bucket", "k"], "left_anti").select(
-            "bucket", "k", F.pmod(F.xxhash64("k"), tiles).alias("tile"), F.lit(False).alias("hub"))
-        every = hubs.select("bucket", "k", F.explode(F.sequence(F.lit(0).cast("bigint"), tiles - 1)).alias("tile"), F.lit(True).alias("hub"))
+        own = F.when(F.col("hub"), _deal("k", "chunks"))
+        others = large.withColumn("own", own).select("bucket", "k", "own", _deal("k", "tiles").alias("tile"), _every("chunks").alias("chunk"))
+        others = others.filter(~F.col("own").eqNullSafe(F.col("chunk"))).select("bucket", "k", "chunk", "tile", F.lit(False).alias("hub"))
+        every = large.filter("hub").select("bucket", "k", _deal("k", "chunks").alias("chunk"), _every("tiles").alias("tile"), "hub")
         dealt = others.unionByName(every).join(texts, "k")
-        out = dealt.groupBy("bucket", "tile").applyInArrow(lambda t: _tile_links(t, shared.value), _TILE)
-        out = materialize(out, "tiles")
-        tiled.append(out.filter(F.col("hub").isNotNull()))
-        links.append(tiled[-1].filter(F.col("d") <= LINK).select(F.least("hub", "k").alias("a"), F.greatest("hub", "k").alias("b")))
-        live = materialize(out.filter(F.col("hub").isNull()).select("k", "bucket"), "bands")
+        out = dealt.groupBy("bucket", "chunk", "tile").applyInArrow(lambda t: _tile_links(t, shared.value), _TILE)
+        tiled.append(materialize(out, "tiles"))
+        near = tiled[-1].filter(F.col("d") <= LINK)
+        links.append(near.select(F.col("hub").alias("a"), F.col("k").alias("b")))
+        live = materialize(large.filter("NOT hub").select("k", "bucket").join(near.select("k", "bucket"), ["k", "bucket"], "left_anti"), "bands")
+        hubs *= 2
     if not links:
         return live.select(F.col("k").alias("a"), F.col("k").alias("b")).limit(0)
-    every = materialize(reduce(DataFrame.union, links).distinct(), "links")
+    roots = components(reduce(DataFrame.union, links)).select(F.col("node").alias("a"), F.col("root").alias("b"))
     if not tiled:
-        return every
-    return every.union(_across_classes(reduce(DataFrame.union, tiled), every, texts, shared)).distinct()
+        return roots
+    return _joined(roots, materialize(_across_classes(reduce(DataFrame.union, tiled), roots, texts, shared), "across"))
+
+
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(a, b) of ``roots`` after ``links`` joined some of their classes, and texts that were in none."""
+    up = lambda c: roots.select(F.col("a").alias(c), F.col("b").alias(f"{c}_up"))
+    above = links.join(up("a"), "a", "left").join(up("b"), "b", "left").select(F.coalesce("a_up", "a").alias("a"), F.coalesce("b_up", "b").alias("b"))
+    top = components(above)
+    raised = roots.join(top.withColumnRenamed("node", "b"), "b", "left").select("a", F.coalesce("root", "b").alias("b"))
+    alone = top.join(roots.select(F.col("a").alias("node")), "node", "left_anti").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return raised.unionByName(alone)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -330,7 +372,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     worded = signed.filter(F.col("bands").isNotNull())
     distinct = materialize(worded.groupBy("k").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands")), "distinct")
     links = materialize(near_duplicate_links(keyed.select("k", "text"), distinct.select("k", "bands"), idf), "links")
-    roots = components(links).withColumnRenamed("node", "k")
+    roots = links.withColumnsRenamed({"a": "k", "b": "root"})
     named = materialize(distinct.select("k", "id", "n").join(roots, "k", "left").withColumn("root", F.coalesce("root", "k")), "named")
     classes = materialize(named.groupBy("root").agg(F.min("id").alias("class_id"), F.sum("n").alias("class_size")), "classes")
     of_text = materialize(named.select("k", "root").join(classes, "root").select("k", "class_id", F.col("root").alias("class_key"), "class_size"), "of_text")
