@@ -231,17 +231,29 @@ def _whole_links(bucket: pa.Table, idf: Idf) -> pa.Table:
 
 
 def _tile_links(tile: pa.Table, idf: Idf) -> pa.Table:
-    """(bucket, hub, k, d) for a tile's texts up to twice the distance of a link from a hub; pairs of hubs in tile 0 only."""
+    """(bucket, hub, k, d) for a tile: each text's nearest linked hub, links that join its texts into the classes of all
+    their links with hubs, and texts of another such class than a hub's up to twice the distance of a link from it.
+
+    Rows of hubs as texts are given in tile 0 only.
+    """
     tile = tile.combine_chunks()
     keys, hub, sets = tile.column("k").to_pylist(), np.asarray(tile.column("hub")), _Sets(tile.column("text"), idf)
-    wanted = ~hub | (tile.column("tile")[0].as_py() == 0)
-    found = []
-    for h in np.flatnonzero(hub):
-        d = sets.distances(h)
-        found += [(keys[h], keys[x], d[x]) for x in np.flatnonzero((d <= 2 * LINK) & wanted)]
+    hubs, of, found = np.flatnonzero(hub), np.arange(sets.n), set()
+    d = np.full((len(hubs), sets.n), np.inf)
+    for i, h in enumerate(hubs):
+        d[i] = sets.distances(h)
+        near = np.flatnonzero((d[i] <= LINK) & (of != of[h]))
+        classes, one = np.unique(of[near], return_index=True)
+        found |= {(i, x) for x in near[one]}
+        of[np.isin(of, classes)] = of[h]
+    if len(hubs):
+        wanted = ~hub | (tile.column("tile")[0].as_py() == 0)
+        nearest = d.argmin(axis=0)
+        found |= {(nearest[x], x) for x in np.flatnonzero((d.min(axis=0) <= LINK) & wanted)}
+        found |= set(zip(*np.nonzero((d > LINK) & (d <= 2 * LINK) & (of[hubs][:, None] != of) & wanted), strict=True))
     bucket = tile.column("bucket")[0].as_py()
-    return pa.table({"bucket": pa.array([bucket] * len(found), pa.int64()), "hub": pa.array([x for x, _, _ in found], pa.binary()),
-                     "k": pa.array([x for _, x, _ in found], pa.binary()), "d": pa.array([x for _, _, x in found], pa.float64())})
+    return pa.table({"bucket": pa.array([bucket] * len(found), pa.int64()), "hub": pa.array([keys[hubs[i]] for i, _ in found], pa.binary()),
+                     "k": pa.array([keys[x] for _, x in found], pa.binary()), "d": pa.array([d[i, x] for i, x in found], pa.float64())})
 
 
 _TILE = "bucket bigint, hub binary, k binary, d double"
@@ -307,7 +319,7 @@ def near_duplicate_links(keyed: DataFrame, signed: DataFrame, idf: Idf) -> DataF
             keys = materialize(members.select("k").distinct(), "keys")
             at = F.pmod(F.xxhash64("k"), F.lit(KEY_BUCKETS)).alias("_at")  # at most 2^20 numbers go to the tasks
             near = keyed.withColumn("_at", at).join(F.broadcast(keys.select(at).distinct()), "_at", "left_semi").select("k", "text")
-            texts = materialize(near.join(keys.hint("merge"), "k", "left_semi").dropDuplicates(["k"]), "texts")
+            texts = materialize(near.dropDuplicates(["k"]).join(keys.hint("merge"), "k", "left_semi"), "texts")  # copies are one in the map tasks
             small = members.filter(F.col("n") <= SMALL_BUCKET)
             pairs = small.alias("x").join(small.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.k") < F.col("y.k")))
             pairs = pairs.select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).distinct()
