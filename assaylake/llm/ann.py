@@ -1,10 +1,12 @@
 """Approximate nearest neighbours by inner product: balanced posting lists behind an in-memory graph of centroids.
 
-Vectors get one more component, the square root of the largest squared norm less their own, so that the
-nearest by distance is the largest by inner product. A bounded sample is split at medians until the
+Vectors get one more component, the square root of the largest squared norm less their own. A query
+gets 0 there and is brought to the largest norm, which does not change its order, so that the nearest
+by distance is the largest by inner product whatever the norms are. A bounded sample is split at medians until the
 pieces are small; their means are the centroids, linked into a neighbour graph that every task holds.
 A vector goes to the list of its nearest centroid, and near a boundary also to others whose distance
-is little more. A query walks the graph and searches the lists whose distance ratio is low enough.
+is little more. A query walks the graph and searches the lists whose distance ratio is low enough,
+however many these are, and farther ones until it has enough candidates.
 """
 
 from __future__ import annotations
@@ -31,6 +33,12 @@ def _augment(v: np.ndarray, top: float) -> np.ndarray:
     return np.column_stack([v, np.sqrt(np.maximum(top - (v * v).sum(axis=1), 0))])
 
 
+def _augment_queries(q: np.ndarray, top: float) -> np.ndarray:
+    """On (q, 0) scaled to the norm of the augmented vectors, squared distances are 2 top less twice the scaled inner product."""
+    scale = np.sqrt(top) / np.sqrt((q * q).sum(axis=1, keepdims=True))
+    return np.column_stack([q * scale, np.zeros(len(q))])
+
+
 class Centroids:
     def __init__(self, sample: np.ndarray, top: float, lists: int):
         x, rng = _augment(sample, top), np.random.default_rng(11)
@@ -89,6 +97,37 @@ class Centroids:
             beam, dist, done = (np.take_along_axis(a, order, 1) for a in (ids, d, flag))
         return beam, dist
 
+    def every(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All lists for each augmented vector, nearest first, and their distances."""
+        d = (x ** 2).sum(axis=1)[:, None] + (self.points ** 2).sum(axis=1)[None, :] - 2 * x @ self.points.T
+        order = np.argsort(d, axis=1, kind="stable")
+        return order, np.sqrt(np.maximum(np.take_along_axis(d, order, 1), 0))
+
+    def probes(self, x: np.ndarray, ratio: float, own: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row, list) of all lists within ``ratio`` of a query's nearest one, and of farther ones until ``least`` vectors are met.
+
+        ``own`` has the number of vectors whose nearest list each one is. Where the walk's beam is too
+        short for that, all lists are looked at.
+        """
+        def chosen(lists: np.ndarray, dist: np.ndarray) -> np.ndarray:
+            seen = np.isfinite(dist)
+            met = np.cumsum(np.where(seen, own[lists], 0), axis=1)
+            before = np.column_stack([np.zeros(len(met), dtype=met.dtype), met[:, :-1]])
+            return seen & ((dist <= dist[:, :1] * ratio + 1e-9) | (before < least))
+
+        lists, dist = self.nearest(x)
+        good = chosen(lists, dist)
+        short = good[:, -1] | (np.where(good, own[lists], 0).sum(axis=1) < least)
+        row, col = np.nonzero(good & ~short[:, None])
+        rows, found = [row], [lists[row, col]]
+        again = np.flatnonzero(short)
+        for part in np.array_split(again, len(again) // 128 + 1):
+            lists, dist = self.every(x[part])
+            row, col = np.nonzero(chosen(lists, dist))
+            rows.append(part[row])
+            found.append(lists[row, col])
+        return np.concatenate(rows), np.concatenate(found)
+
 
 def _matrix(column: pa.Array) -> np.ndarray:
     flat = np.asarray(column.flatten(), dtype=np.float64)
@@ -96,7 +135,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _assign(batches: Iterator[pa.RecordBatch], centroids: Centroids, ratio: float, most: int) -> Iterator[pa.RecordBatch]:
-    """(vh, v, list) for the lists within ``ratio`` of the nearest one, at most ``most``."""
+    """(vh, v, list, own) for the lists within ``ratio`` of the nearest one, at most ``most``; ``own`` marks the nearest."""
     for batch in batches:
         for start in range(0, batch.num_rows, 512):
             b = batch.slice(start, 512)
@@ -105,7 +144,20 @@ def _assign(batches: Iterator[pa.RecordBatch], centroids: Centroids, ratio: floa
             good = (dist <= dist[:, :1] * ratio + 1e-9) & np.isfinite(dist) & (np.arange(dist.shape[1]) < most)
             row, col = np.nonzero(good)
             yield pa.RecordBatch.from_arrays(
-                [b.column("vh").take(pa.array(row)), b.column("v").take(pa.array(row)), pa.array(lists[row, col].astype(np.int64))], ["vh", "v", "list"])
+                [b.column("vh").take(pa.array(row)), b.column("v").take(pa.array(row)), pa.array(lists[row, col].astype(np.int64)), pa.array(col == 0)],
+                ["vh", "v", "list", "own"])
+
+
+def _probe(batches: Iterator[pa.RecordBatch], centroids: Centroids, ratio: float, own: np.ndarray, least: int) -> Iterator[pa.RecordBatch]:
+    """(vh, v, list) for the lists that a query searches."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 512):
+            b = batch.slice(start, 512)
+            row, lists = centroids.probes(_augment_queries(_matrix(b.column("v")), centroids.top), ratio, own, least)
+            for a in range(0, len(row), 10_000):
+                at = pa.array(row[a:a + 10_000])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("vh").take(at), b.column("v").take(at), pa.array(lists[a:a + 10_000].astype(np.int64))], ["vh", "v", "list"])
 
 
 def _tile_search(queries: pa.Table, vectors: pa.Table, k: int) -> pa.Table:
@@ -161,18 +213,23 @@ def search(embeddings: DataFrame, queries: DataFrame, k: int = 20, id_col: str =
         sample = _matrix(distinct.select("v").limit(1).toArrow().column("v").combine_chunks())
     shared = spark.sparkContext.broadcast(Centroids(sample, float(top), int(min(MAX_LISTS, max(1, n // LIST_LENGTH)))))
     schema = "vh bigint, v array<double>, list bigint"
-    postings = materialize(distinct.mapInArrow(lambda it: _assign(it, shared.value, COPY_RATIO, COPIES), schema), "postings")
-    probes = asked.select("vh", "v").dropDuplicates(["vh"]).mapInArrow(lambda it: _assign(it, shared.value, PROBE_RATIO, BEAM), schema)
+    postings = materialize(distinct.mapInArrow(lambda it: _assign(it, shared.value, COPY_RATIO, COPIES), f"{schema}, own boolean"), "postings")
+    own = np.zeros(len(shared.value.points), dtype=np.int64)  # each vector is one of a single list's own
+    for r in postings.filter("own").groupBy("list").count().collect():
+        own[r["list"]] = r["count"]
+    met = spark.sparkContext.broadcast(own)
+    probes = asked.select("vh", "v").dropDuplicates(["vh"]).mapInArrow(
+        lambda it: _probe(it, shared.value, PROBE_RATIO, met.value, k + 1), schema)
     probes = materialize(probes, "probes")
 
     def tiles(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias(name))
 
     sizes = materialize(tiles(postings, "vt").join(tiles(probes, "qt"), "list"), "sizes")
-    own = lambda n: F.pmod(F.xxhash64("vh"), F.col(n)).cast("int")
+    home = lambda n: F.pmod(F.xxhash64("vh"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = probes.join(sizes, "list").select("list", "vh", "v", each("vt").alias("vtile"), own("qt").alias("qtile"))
-    right = postings.join(sizes, "list").select("list", "vh", "v", own("vt").alias("vtile"), each("qt").alias("qtile"))
+    left = probes.join(sizes, "list").select("list", "vh", "v", each("vt").alias("vtile"), home("qt").alias("qtile"))
+    right = postings.join(sizes, "list").select("list", "vh", "v", home("vt").alias("vtile"), each("qt").alias("qtile"))
     keys = ["list", "vtile", "qtile"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
         lambda a, b: _tile_search(a, b, k + 1), "qh bigint, vh bigint, score double")

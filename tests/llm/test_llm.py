@@ -344,6 +344,34 @@ def test_ann(spark):
     assert ann.search(frame.limit(0), frame.limit(0)).count() == 0
 
 
+def test_ann_unequal_norms(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LIST_LENGTH", 4)  # 750 lists, far more than a beam
+    rng = np.random.default_rng(12)
+    data = rng.normal(size=(3000, 16)) * np.exp(rng.normal(size=(3000, 1)))
+    frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)], "vec_id bigint, embedding array<double>")
+    got = {}
+    for r in ann.search(frame, frame.filter("vec_id % 100 = 0")).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hit = sum(len(got[q] & {int(i) for i in np.argsort(-(data @ data[q])) if i != q and (data @ data[q])[i] >= np.sort(np.delete(data @ data[q], q))[-20]})
+              for q in range(0, 3000, 100))
+    assert hit >= 0.95 * 20 * 30
+
+
+def test_probes_by_ratio_alone():
+    rng = np.random.default_rng(13)
+    data = rng.normal(size=(8000, 6))
+    data /= np.linalg.norm(data, axis=1)[:, None]
+    lists = ann.Centroids(data, 1.0, 2000)
+    x = ann._augment_queries(data[:50], 1.0)
+    row, _ = lists.probes(x, 3.0, np.ones(2000, dtype=np.int64), 1)
+    dist = np.sqrt(((x[:, None, :] - lists.points[None]) ** 2).sum(axis=2))
+    want = (dist <= dist.min(axis=1, keepdims=True) * 3.0).sum(axis=1)
+    assert want.max() > ann.BEAM
+    assert (np.bincount(row, minlength=50) >= 0.9 * want).all()
+    row, _ = lists.probes(x, 1.0, np.ones(2000, dtype=np.int64), 300)  # widened until 300 vectors are met
+    assert (np.bincount(row, minlength=50) >= 300).all()
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out, columns = docs, docs.columns
