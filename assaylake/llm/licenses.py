@@ -1,8 +1,8 @@
 """License scans: ordered signature rules behind a keyword prefilter, then priority and containment.
 
 DataFrame functions only, and no shuffle: a document's words, detections and labels are made within
-its row. A rule is looked at only at words that can begin it, and only in texts that hold one of the
-gate's keywords, so the rules cost nothing on the rest of the table.
+its row. A rule is looked at only at words that can begin it, and only in texts that pass a gate
+made from the rules, so the rules cost nothing on the rest of the table.
 """
 
 from __future__ import annotations
@@ -19,9 +19,7 @@ REACH = 16  # words that a rule can see from its first word
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 LICENSE = "licen[cs]e"
 
-# Each rule's match holds at least one of these; short names count only as the beginning of a word.
-GATE = (r"(?i)licen[cs]|public domain|all rights reserved|copyright|creative commons|redistribution and use|permission is hereby"
-        r"|(?<![0-9a-z])(?:spdx|[al]?gpl|cc0|cc by|cc-by|wtfpl|mpl|epl|cddl|eupl|bsd|isc|zlib)")
+GAP = r"(?:[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+)"  # what may lie between two words of a raw text
 
 
 @dataclass(frozen=True)
@@ -125,6 +123,25 @@ def signature_rules() -> list[Rule]:
     return [Rule(r.trigger, f"^(?:{r.pattern})(?: |$)", r.label, r.tier, r.confidence) for r in out]
 
 
+def gate_of(rules: list[Rule]) -> str:
+    """A pattern on raw text that every match of a rule or a base phrase passes.
+
+    It is the rules' own patterns with gaps for the single spaces, without those that begin with another
+    one, tried only where a word begins and only among those of its first character.
+    """
+    patterns = sorted({r.pattern.removeprefix("^(?:").removesuffix(")(?: |$)") for r in rules} | set(BASE), key=lambda x: (len(x), x))
+    least: list[str] = []
+    for x in patterns:
+        if not any(x == y or x.startswith((y + " ", y + "(?: ")) for y in least):
+            least.append(x)
+    by_first: dict[str, list[str]] = {}
+    for x in least:
+        by_first.setdefault(x[0], []).append(x[1:].replace(" ", GAP))
+    firsts = "".join(sorted(by_first))
+    each = "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in sorted(by_first.items()))
+    return rf"(?i)(?=[{firsts}])(?<!{ANY_CASE_WORD.removesuffix('+')})(?:{each})"
+
+
 def _rule_table(rules: list[Rule]) -> Column:
     return F.array(*[F.struct(F.lit(r.trigger).alias("trigger"), F.lit(r.pattern).alias("pattern"), F.lit(r.label).alias("label"),
                               F.lit(r.tier).alias("tier"), F.lit(i).alias("at"), F.lit(r.confidence).alias("conf"))
@@ -160,7 +177,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     triggers = sorted({r.trigger for r in rules})
     most = max(sum(r.trigger == t for r in rules) for t in triggers)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    gated = docs.select(F.col(id_col).alias("id"), text.alias("text"), text.rlike(GATE).alias("gate"))
+    gated = docs.select(F.col(id_col).alias("id"), text.alias("text"), text.rlike(gate_of(rules)).alias("gate"))
     words = gated.select(
         "id", F.regexp_count("text", F.lit(ANY_CASE_WORD)).cast("bigint").alias("n_words"),
         F.when(F.col("gate"), F.regexp_extract_all(F.translate("text", UPPER, LOWER), F.lit(WORD), F.lit(0)))

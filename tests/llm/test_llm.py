@@ -106,6 +106,30 @@ def brute_contamination(texts, items):
     return key(out)
 
 
+def sample_of(pattern):
+    """A text of single-spaced words that the rule matches."""
+    text = pattern.removeprefix("^(?:").removesuffix(")(?: |$)").replace(" ?", " ").replace("v?", "")
+    while "(" in text:
+        text = re.sub(r"\(\?:([^()|]*)[^()]*\)(\??)", lambda m: "" if m[2] else m[1], text, count=1)
+    return re.sub(r"\[(.)[^]]*\]", r"\1", text)
+
+
+def test_license_gate_is_lossless(spark):
+    rules = licenses.signature_rules()
+    gate = re.compile(licenses.gate_of(rules))
+    for rule in rules:
+        sample = sample_of(rule.pattern)
+        assert re.search(rule.pattern, sample), sample
+        for gap in (" ", "\n", "-", "\n * ", '", "'):
+            assert gate.search("under:" + sample.upper().replace(" ", gap)), (sample, gap)
+    texts = {"Released under Apache 2.0": "apache-2.0", "Apache v2": "apache-2.0", "GFDL 1.3": "gfdl-1.3", "a public-domain work": "public-domain",
+             "in the public\ndomain": "public-domain", "all rights\nreserved": "proprietary", "Creative\nCommons Attribution 4.0": "cc-by-4.0",
+             "Redistribution and\nuse in source\nand binary forms": "bsd", "republic domain, a gnome": ""}
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    got = {r.doc_id: r.labels for r in licenses.license_report(frame).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts.values())
+
+
 def test_decontamination(spark):
     texts = [(1, "a b c d e a b c"), (2, None), (3, ""), (3, "A-B c"), (None, "x y z " * 200), (5, "b"), (1, "a b c d e a b c")]
     items = [(1, "a b"), (2, "c"), (None, None), (3, "x y z " * 9), (1, "d e a"), (12, "A b"), (None, "b")]
