@@ -238,6 +238,23 @@ def test_substring_dedup(spark, docs):
     assert substring_dedup.dedup_substrings(docs.limit(0)).count() == 0
 
 
+def test_substring_runs_within_lines(spark):
+    rng = np.random.default_rng(21)
+    word = lambda n, tag: [f"{tag}{i}" for i in rng.integers(0, 10**6, n)]
+    shared, other = word(54, "s"), word(50, "o")
+    rows = [(1, " ".join(word(30, "a") + shared + word(9, "a"))), (2, " ".join(word(7, "b") + [x.upper() for x in shared[:20]]) + "\n"
+             + " ".join(shared[20:] + word(40, "b"))), (3, " ".join(word(3, "c") + shared[:49] + word(3, "c"))),
+            (4, " ".join(other + word(5, "d") + other + ["end"])), (5, "ab ab " * 60), (6, "")]
+    got = {r.doc_id: (r.text, [(s.start, s.end) for s in r.removed]) for r in
+           substring_dedup.repeats_report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    text = dict(rows)
+    assert got[1] == (text[1], []) and got[3] == (text[3], []) and got[6] == ("", [])
+    assert got[2][0].split() == text[2].split()[:7] + text[2].split()[61:]
+    assert got[4][0].split() == text[4].split()[:55] + ["end"]
+    assert got[5][0].split() == ["ab"] * 50
+    assert all(t == "".join(c for i, c in enumerate(text[d]) if not any(a <= i < b for a, b in s)) for d, (t, s) in got.items())
+
+
 def test_html():
     page = ('<html><head><title>x</title></head><body><nav>m</nav><div class="side sidebar">s</div><article><h1>T &amp; t</h1><p><b>One<br>two'
             '<p>three <i>x</i>y</p><aside>no</aside><section class="comments">c</section>tail &am</article><footer>f</footer><scri')
