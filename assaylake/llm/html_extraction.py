@@ -36,14 +36,16 @@ BLOCK = {"address", "article", "aside", "blockquote", "body", "center", "dd", "d
 FURNITURE = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "select", "head"}
 MAIN = {"article", "main"}
 _FURNITURE_ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu", "form"}
-_FURNITURE_NAME = re.compile(
-    r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|header|masthead|footer|sidebar|aside|ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|"
-    r"notices?|alert|popup|modal|comments?|disqus|replies|share|social|subscribe|newsletter|signup|login|breadcrumbs?|related|widget)(?:$|[\s_-])", re.I)
+_FURNITURE_NAME = (r"(?:nav|navbar|navigation|menu|header|masthead|footer|sidebar|aside|ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|"
+                   r"notices?|alert|popup|modal|comments?|disqus|replies|share|social|subscribe|newsletter|signup|login|breadcrumbs?|related|widget)")
+# parts of a compound name that say where or as what furniture stands, not what has or holds it
+_PLACE = r"(?:site|page|global|top|bottom|left|right|main|primary|secondary|bar|box|block|slot|unit|list|links?|icons?|buttons?|section|area|form|wrapper|container|\d+)"
+_FURNITURE_TOKEN = re.compile(rf"(?:{_PLACE}[_-]+)*{_FURNITURE_NAME}(?:[_-]+(?:{_FURNITURE_NAME}|{_PLACE}))*", re.I)
 
 
-def _kind(name: str, attributes: str) -> str:
-    """'main', 'furniture' or '' for an element."""
-    if name in FURNITURE:
+def _kind(name: str, attributes: str, within: bool) -> str:
+    """'main', 'furniture', 'named' (furniture by class or id only) or '' for an element; a header ``within`` an article is its headline."""
+    if name in FURNITURE and not (within and name == "header"):
         return "furniture"
     found = {m[0].lower(): (m[1] or m[2] or m[3]) for m in _ATTRIBUTE.findall(attributes)} if "=" in attributes else {}
     role = found.get("role", "").lower()
@@ -51,11 +53,27 @@ def _kind(name: str, attributes: str) -> str:
         return "furniture"
     if name in MAIN or role in ("main", "article") or found.get("itemprop", "").lower() == "articlebody":
         return "main"
-    return "furniture" if name not in ("html", "body") and any(_FURNITURE_NAME.search(found.get(a, "")) for a in ("class", "id")) else ""
+    tokens = [t for a in ("class", "id") for t in found.get(a, "").split() if not (within and t.lower() == "header")]
+    return "named" if name not in ("html", "body") and any(_FURNITURE_TOKEN.fullmatch(t) for t in tokens) else ""
+
+
+def _zone(above: str, name: str, attributes: str) -> str:
+    """The zone of an element below the zone ``above``."""
+    kind = _kind(name, attributes, above in ("main", "inner"))
+    if above in ("furniture", "tagged"):
+        return "tagged" if kind == "main" or (above == "tagged" and not kind) else "furniture"
+    if above == "named":
+        if kind == "main":
+            return "main" if name == "main" else "inner"
+        return kind or above
+    return kind or above
 
 
 def page_blocks(page: str) -> list[tuple[str, str]]:
-    """(zone, text) of each block in page order; the zone is 'main', 'furniture' or '' for neither."""
+    """(zone, text) of each block in page order; the zone is 'main', 'furniture' or '' for neither.
+
+    Furniture by class or id only is 'named', an article below it 'inner', and one below other furniture 'tagged'.
+    """
     out: list[tuple[str, str]] = []
     stack: list[tuple[str, str]] = []  # element and its zone
     pieces: list[str] = []
@@ -107,8 +125,7 @@ def page_blocks(page: str) -> list[tuple[str, str]]:
                     if stack[i][0] in BLOCK:
                         break
             above = stack[-1][1] if stack else ""
-            kind = _kind(name, m.group(3))
-            new = "furniture" if above == "furniture" or kind == "furniture" else kind or above
+            new = _zone(above, name, m.group(3))
             if new != above:
                 zone = above
                 close_block()
@@ -150,7 +167,8 @@ def main_texts(pages: list[str | None]) -> list[str]:
     covered = repeated_tokens(["\n".join(t for _, t in blocks) for blocks in parsed])
     out = []
     for blocks, cover in zip(parsed, covered, strict=True):
-        main = [t for zone, t in blocks if zone == "main"]
+        # an article below a name is a comment or a teaser where the page has another one
+        main = [t for zone, t in blocks if zone == "main"] or [t for zone, t in blocks if zone == "inner"]
         if not main:
             at, unique = 0, []
             for zone, text in blocks:
@@ -160,7 +178,7 @@ def main_texts(pages: list[str | None]) -> list[str]:
                 if zone == "":
                     unique.append((text, share <= 0.5))
             # a page that repeats others as a whole is a copy, not boilerplate
-            main = [t for t, keep in unique if keep] or [t for t, _ in unique]
+            main = [t for t, keep in unique if keep] or [t for t, _ in unique] or [t for zone, t in blocks if zone == "tagged"]
         out.append("\n\n".join(main))
     return out
 

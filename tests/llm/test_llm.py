@@ -265,6 +265,20 @@ def test_html():
     assert html_extraction.main_texts([copied + x for x in "123"]) == ["a b c d e f g h i j"] * 3
 
 
+@pytest.mark.parametrize("page, text", [
+    ('<div class="content has-sidebar"><article><p>a b</p></article></div>', "a b"),
+    ('<div class="no-sidebar with-comments"><p>a b</p></div><div class="site-footer">f</div>', "a b"),
+    ('<div class="ad">buy<article><p>a b</p></article>', "a b"),
+    ('<div class="ad">buy<main><p>a b</p><div class="cookie-banner share">c</div></main>', "a b"),
+    ('<article><header><h1>h</h1></header><div class="article-header">i</div><p>a b</p></article><header>x</header>', "h\n\ni\n\na b"),
+    ('<form><article><p>a b</p><nav>n</nav></article><p>z</p></form>', "a b"),
+    ('<article><p>a b</p></article><div class="comments"><article>c</article></div>', "a b"),
+    ('<div class="sidebar">s</div><nav>n</nav>', ""),
+])
+def test_html_furniture(page, text):
+    assert html_extraction.main_texts([page]) == [text]
+
+
 def test_repeats_against_brute_force():
     rng = np.random.default_rng(5)
     streams = [" ".join(rng.choice(list("ab"), 40)) for _ in range(8)] + ["a b", ""]
