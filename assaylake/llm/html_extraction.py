@@ -14,11 +14,12 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.llm.words import words_of
-from assaylake.session import small_side
+from assaylake.llm.words import Words, mix, words_of
+from assaylake.session import materialize, small_side
 
 PART_PAGES = 256
 REPEAT = 8  # tokens of a long substring; a power of two
@@ -135,12 +136,12 @@ def page_blocks(page: str) -> list[tuple[str, str]]:
     return out
 
 
-def repeated_tokens(streams: list[str], length: int = REPEAT, min_pages: int = MIN_PAGES) -> list[np.ndarray]:
-    """For each stream which of its tokens lie in a substring of ``length`` tokens that ``min_pages`` different streams share."""
+def _suffixes(streams: list[str], length: int) -> tuple[Words, np.ndarray, np.ndarray]:
+    """Words, the suffix array without suffixes of fewer than ``length`` tokens, and all suffixes' ranks by so many tokens."""
     w = words_of(pa.array(streams, pa.string()))
     first, row, n = w.first, w.row(), len(w.start)
     if n < length:
-        return [np.zeros(c, dtype=bool) for c in w.count]
+        return w, np.zeros(0, dtype=np.int64), np.zeros(n, dtype=np.int64)
     rank = np.unique(w.hashes(), return_inverse=True)[1].astype(np.int64) + 1
     step = 1
     while step < length:  # suffixes in the order of their first 2, 4, … tokens
@@ -149,11 +150,44 @@ def repeated_tokens(streams: list[str], length: int = REPEAT, min_pages: int = M
         key = rank * (int(rank.max()) + 1) + ahead
         rank, step = np.unique(key, return_inverse=True)[1].astype(np.int64) + 1, step * 2
     full = np.flatnonzero(first[row + 1] - np.arange(n) >= length)
-    order = full[np.argsort(rank[full], kind="stable")]  # the suffix array, without suffixes that are too short
-    _, same = np.unique(np.array(streams, dtype=object).astype(str), return_inverse=True)  # equal pages are one page
-    pair = np.unique(rank[order] * len(streams) + same[row[order]])
-    ranks, pages = np.unique(pair // len(streams), return_counts=True)
-    often = order[np.isin(rank[order], ranks[pages >= min_pages])]
+    return w, full[np.argsort(rank[full], kind="stable")], rank
+
+
+def _keys(w: Words, at: np.ndarray, length: int) -> np.ndarray:
+    """A 64-bit hash of the ``length`` tokens from each of these on, equal in every part."""
+    h = w.hashes()
+    key = np.zeros(len(at), dtype=np.uint64)
+    for j in range(length):
+        key = key * np.uint64(0xD6E8FEB86659FD93) + h[at + j]
+    return mix(key).view(np.int64)
+
+
+def part_keys(streams: list[str], length: int = REPEAT, min_pages: int = MIN_PAGES) -> tuple[np.ndarray, np.ndarray]:
+    """(key, page): each substring of ``length`` tokens with its ``min_pages`` least page hashes, all that a count up to there needs."""
+    w, order, _ = _suffixes(streams, length)
+    page = np.array([xxhash.xxh3_64_intdigest(s.encode("utf-8", "surrogatepass")) for s in streams], dtype=np.uint64).view(np.int64)
+    pair = np.unique(np.column_stack([_keys(w, order, length), page[w.row()[order]]]), axis=0)
+    begin = np.flatnonzero(np.concatenate([[True], pair[1:, 0] != pair[:-1, 0]])[:len(pair)])
+    within = np.arange(len(pair)) - np.repeat(begin, np.diff(np.append(begin, len(pair))))
+    return pair[within < min_pages, 0], pair[within < min_pages, 1]
+
+
+def repeated_tokens(streams: list[str], length: int = REPEAT, min_pages: int = MIN_PAGES, keys: np.ndarray | None = None) -> list[np.ndarray]:
+    """For each stream which of its tokens lie in a substring of ``length`` tokens that ``min_pages`` different streams share.
+
+    With ``keys`` these are the substrings that so many pages of the whole host share.
+    """
+    w, order, rank = _suffixes(streams, length)
+    first, row, n = w.first, w.row(), len(w.start)
+    if not len(order):
+        return [np.zeros(c, dtype=bool) for c in w.count]
+    if keys is None:
+        _, same = np.unique(np.array(streams, dtype=object).astype(str), return_inverse=True)  # equal pages are one page
+        pair = np.unique(rank[order] * len(streams) + same[row[order]])
+        ranks, pages = np.unique(pair // len(streams), return_counts=True)
+        often = order[np.isin(rank[order], ranks[pages >= min_pages])]
+    else:
+        often = order[np.isin(_keys(w, order, length), keys)]
     change = np.zeros(n + 1, dtype=np.int64)
     np.add.at(change, often, 1)
     np.add.at(change, np.minimum(often + length, n), -1)
@@ -161,10 +195,14 @@ def repeated_tokens(streams: list[str], length: int = REPEAT, min_pages: int = M
     return [covered[a:b] for a, b in zip(first, first[1:], strict=False)]
 
 
-def main_texts(pages: list[str | None]) -> list[str]:
-    """Main text of each page of one part of a host."""
+def _streams(parsed: list[list[tuple[str, str]]]) -> list[str]:
+    return ["\n".join(t for _, t in blocks) for blocks in parsed]
+
+
+def main_texts(pages: list[str | None], keys: np.ndarray | None = None) -> list[str]:
+    """Main text of each page of one part of a host; ``keys`` has the repeats of the host where it has other parts."""
     parsed = [page_blocks(p) if p else [] for p in pages]
-    covered = repeated_tokens(["\n".join(t for _, t in blocks) for blocks in parsed])
+    covered = repeated_tokens(_streams(parsed), keys=keys)
     out = []
     for blocks, cover in zip(parsed, covered, strict=True):
         # an article below a name is a comment or a teaser where the page has another one
@@ -187,9 +225,16 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def _extract(part: pa.Table) -> pa.Table:
+def _part_keys(part: pa.Table) -> pa.Table:
+    key, page = part_keys(_streams([page_blocks(p) if p else [] for p in part.column("html").to_pylist()]))
+    return pa.table({"host": pa.array([part.column("host")[0].as_py()] * len(key), pa.string()),
+                     "part": pa.array(np.full(len(key), part.column("part")[0].as_py(), dtype=np.int64)), "key": key, "page": page})
+
+
+def _extract(part: pa.Table, often: pa.Table) -> pa.Table:
     part = part.combine_chunks()
-    texts = main_texts(part.column("html").to_pylist())
+    alone = not part.num_rows or part.column("parts")[0].as_py() == 1
+    texts = main_texts(part.column("html").to_pylist(), None if alone else np.asarray(often.column("key"), dtype=np.int64))
     return pa.table({"row": part.column("row"), "text": pa.array(texts, pa.string())})
 
 
@@ -198,18 +243,23 @@ def extract_main_text(pages: DataFrame, keep: list[Column], url_col: str = "url"
 
     Blocks are trimmed, white space inside a block is one space, character references are decoded and
     blocks joined by an empty line. Pages of a host are dealt by a hash into parts of about
-    ``part_pages``, so a host of any size is many tasks; boilerplate is on so many pages of its host
-    that every part shows it. Null and empty pages, and pages without text, give ''. A null url, or one
+    ``part_pages``, so a host of any size is many tasks; where there are several, the pages that share a
+    substring are counted over all parts. Null and empty pages, and pages without text, give ''. A null url, or one
     without a host, belongs to the host ''. Repeated rows are separate pages that count as one when
     repeats are counted. An empty table gives no rows; other columns do not matter.
     """
     rows = pages.select(F.struct(*keep).alias("row"), host_of(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html"))
     sizes = rows.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / part_pages).cast("int").alias("parts"))
     # hosts of one part need no number; a short table of the others keeps the pages out of a shuffle by host
-    dealt = rows.join(small_side(sizes.filter("parts > 1")), "host", "left").withColumn(
-        "part", F.pmod(F.xxhash64("html", "row"), F.coalesce("parts", F.lit(1))))
+    dealt = rows.join(small_side(sizes.filter("parts > 1")), "host", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn(
+        "part", F.pmod(F.xxhash64("html", "row"), F.col("parts")).cast("bigint"))
+    keys = materialize(dealt.filter("parts > 1").select("host", "part", "html").groupBy("host", "part").applyInArrow(
+        _part_keys, "host string, part bigint, key bigint, page bigint"), "host_keys")
+    often = keys.groupBy("host", "key").agg(F.countDistinct("page").alias("pages")).filter(F.col("pages") >= MIN_PAGES)
+    often = materialize(keys.select("host", "part", "key").distinct().join(often.select("host", "key"), ["host", "key"]), "host_repeats")
     schema = dealt.select("row", F.lit("").alias("text")).schema
-    return dealt.select("host", "part", "row", "html").groupBy("host", "part").applyInArrow(_extract, schema)
+    return dealt.select("host", "part", "parts", "row", "html").groupBy("host", "part").cogroup(
+        often.groupBy("host", "part")).applyInArrow(_extract, schema)
 
 
 def extraction_report(pages: DataFrame) -> DataFrame:

@@ -265,6 +265,14 @@ def test_html():
     assert html_extraction.main_texts([copied + x for x in "123"]) == ["a b c d e f g h i j"] * 3
 
 
+def test_html_repeats_over_all_parts(spark):
+    shared, pair = "<div>a b c d e f g h i j</div>", "<div>k l m n o p q r s t</div>"
+    rows = [(i, "http://h/x", f"<div>page number {i}</div>" + shared * (i < 3) + pair * (i in (5, 6))) for i in range(64)]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in html_extraction.extract_main_text(frame, [F.col("page_id")], part_pages=1).select("row.page_id", "text").collect()}
+    assert got == {i: f"page number {i}" + "\n\nk l m n o p q r s t" * (i in (5, 6)) for i in range(64)}
+
+
 @pytest.mark.parametrize("page, text", [
     ('<div class="content has-sidebar"><article><p>a b</p></article></div>', "a b"),
     ('<div class="no-sidebar with-comments"><p>a b</p></div><div class="site-footer">f</div>', "a b"),
