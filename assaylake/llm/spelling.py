@@ -28,7 +28,8 @@ TILE = 4_096  # words of a block that are compared in one task with as many othe
 _PAIRS = list(combinations(range(CLASSES), 2))
 _AT_ONCE = 30_000  # rows gathered before their blocks are compared
 _SQUARE = 1_024  # side of one matrix product
-_VERIFY_BYTES = 8_000_000
+_VERIFY_BYTES = 4_000_000
+_VERIFY_ROWS = 20_000
 _LETTER = np.full(256, -1, dtype=np.int64)
 _LETTER[97:123] = np.arange(26)
 _LETTER[0xC0:] = np.arange(26, 90)
@@ -92,14 +93,14 @@ def _block_keys(classes: np.ndarray):
     return keys
 
 
-def _close(counts: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows of one block whose letter counts have squared distance 1 or 2; ``group`` tells the block of a row."""
+def _close(counts: np.ndarray, group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one block whose letter counts have squared distance 1 or 2, as they are found;
+    ``group`` tells the block of a row."""
     first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
     size = np.diff(np.append(first, len(group)))
     kind = np.float32 if int(counts.sum(axis=1).max()) < 2_000 else np.float64  # squares stay exact
     x = np.vstack([counts, np.zeros((1, counts.shape[1]), dtype=counts.dtype)]).astype(kind)
     norm = (x * x).sum(axis=1)
-    left, right = [], []
     below = 1
     for side in (4, 16, 64):  # small blocks side by side, filled up with an empty row
         some = np.flatnonzero((size > below) & (size <= side))
@@ -113,8 +114,7 @@ def _close(counts: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarra
             d = norm[at][:, :, None] + norm[at][:, None, :] - 2 * np.matmul(m, m.transpose(0, 2, 1))
             k, i, j = np.nonzero((d > 0.5) & (d < 2.5))
             ok = (i < j) & (at[k, j] < len(counts)) & (at[k, i] < len(counts))
-            left.append(at[k, i][ok])
-            right.append(at[k, j][ok])
+            yield at[k, i][ok], at[k, j][ok]
     for g in np.flatnonzero(size > 64):
         stop = first[g] + size[g]
         for a in range(first[g], stop, _SQUARE):
@@ -123,10 +123,7 @@ def _close(counts: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarra
                 d = norm[p][:, None] + norm[q][None, :] - 2 * (x[p] @ x[q].T)
                 i, j = np.nonzero((d > 0.5) & (d < 2.5))
                 ok = i + a < j + b
-                left.append(i[ok] + a)
-                right.append(j[ok] + b)
-    none = np.zeros(0, dtype=np.int64)
-    return np.concatenate([none, *left]), np.concatenate([none, *right])
+                yield i[ok] + a, j[ok] + b
 
 
 def _one_edit(data: np.ndarray, at: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -150,31 +147,39 @@ def _one_edit(data: np.ndarray, at: np.ndarray, a: np.ndarray, b: np.ndarray) ->
 
 
 def _near_in_blocks(classes: np.ndarray):
-    member = np.eye(CLASSES, dtype=np.int64)[classes]
+    member = np.eye(CLASSES, dtype=np.float32)[classes]
 
-    def near(table: pa.Table) -> pa.RecordBatch:
-        data, at = _latin(table.column("word").combine_chunks())
+    def near(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        words = table.column("word").combine_chunks()
+        data, at = _latin(words)
         column = {c: table.column(c).to_numpy() for c in ("pair", "low", "h", "x", "y", "part", "n")}
-        counts = _letter_counts(data, at)
+        counts = _letter_counts(data, at).astype(np.int32)
+        length = np.diff(at)
         change = np.zeros(len(counts), dtype=bool)
         for c in ("pair", "low", "h", "x", "y"):
             change[1:] |= column[c][1:] != column[c][:-1]
-        i, j = _close(counts, np.cumsum(change))
-        length = np.diff(at)
-        two_parts = column["x"][i] != column["y"][i]
-        ok = (np.minimum(length[i], length[j]) == column["low"][i]) & (~two_parts | (column["part"][i] != column["part"][j]))
-        i, j = i[ok], j[ok]
-        differs = ((counts[i] != counts[j]).astype(np.int64) @ member) > 0
-        agree = np.stack([~differs[:, c] & ~differs[:, d] for c, d in _PAIRS], axis=1)
-        ok = agree[np.arange(len(i)), column["pair"][i]] & (agree.argmax(axis=1) == column["pair"][i])
-        i, j = i[ok], j[ok]
-        swap = length[i] > length[j]
-        i, j = np.where(swap, j, i), np.where(swap, i, j)
-        ok = (length[j] - length[i] <= 1) & _one_edit(data, at, i, j)
-        i, j = i[ok], j[ok]
-        words = table.column("word").combine_chunks()
-        return pa.RecordBatch.from_arrays(
-            [words.take(pa.array(i)), words.take(pa.array(j)), pa.array(column["n"][i]), pa.array(column["n"][j])], names=["a", "b", "n_a", "n_b"])
+
+        def chosen(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            two_parts = column["x"][i] != column["y"][i]
+            ok = (np.minimum(length[i], length[j]) == column["low"][i]) & (~two_parts | (column["part"][i] != column["part"][j]))
+            ok &= np.abs(length[j] - length[i]) <= 1
+            i, j = i[ok], j[ok]
+            differs = ((counts[i] != counts[j]).astype(np.float32) @ member) > 0
+            agree = np.stack([~differs[:, c] & ~differs[:, d] for c, d in _PAIRS], axis=1)
+            ok = agree[np.arange(len(i)), column["pair"][i]] & (agree.argmax(axis=1) == column["pair"][i])
+            i, j = i[ok], j[ok]
+            swap = length[i] > length[j]
+            i, j = np.where(swap, j, i), np.where(swap, i, j)
+            ok = _one_edit(data, at, i, j)
+            return i[ok], j[ok]
+
+        for left, right in _close(counts, np.cumsum(change)):
+            for s in range(0, len(left), _VERIFY_ROWS):
+                i, j = chosen(left[s:s + _VERIFY_ROWS], right[s:s + _VERIFY_ROWS])
+                if len(i):
+                    yield pa.RecordBatch.from_arrays(
+                        [words.take(pa.array(i)), words.take(pa.array(j)), pa.array(column["n"][i]), pa.array(column["n"][j])],
+                        names=["a", "b", "n_a", "n_b"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -191,10 +196,10 @@ def _near_in_blocks(classes: np.ndarray):
                 same &= v == v[-1]
             cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
             if cut:
-                yield near(t.slice(0, cut))
+                yield from near(t.slice(0, cut))
                 held, rows = t.slice(cut).to_batches(), rows - cut
         if rows:
-            yield near(pa.Table.from_batches(held))
+            yield from near(pa.Table.from_batches(held))
 
     return scan
 
