@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from assaylake.session import materialize, small_side
 
-IN_MEMORY_ROWS = 100_000  # most rows that one task may hold as a top-k heap
 _POS_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
@@ -34,9 +33,11 @@ def _sorted_pieces(df: DataFrame, order: Sequence[Column], group: Sequence[str])
 
 
 def with_row_index(df: DataFrame, order: Sequence[Column], group: Sequence[str] = (),
-                   index: str = "row_index") -> DataFrame:
+                   index: str = "row_index", size: str | None = None) -> DataFrame:
     """0-based position of each row in the given order, within each group if groups are given.
 
+    ``size`` names a column for the number of rows of the group, which the same counts give.
+
     Two passes: sort into ranges, count rows per (range, group), add the counts of the ranges
     before. End ``order`` with a unique column to make the result unique. A group may span many
     ranges, so one huge group does not land on one task.
@@ -45,29 +46,22 @@ def with_row_index(df: DataFrame, order: Sequence[Column], group: Sequence[str]
     per_piece = pieces.groupBy("_piece", *group).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n"))
     # one row per (range, group): at most ranges + groups rows
     window = Window.partitionBy(*group, F.lit(0)).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_piece.withColumn("_before", F.coalesce(F.sum("_n").over(window), F.lit(0))).drop("_n")
+    offsets = per_piece.withColumn("_before", F.coalesce(F.sum("_n").over(window), F.lit(0)))
+    if size:
+        offsets = offsets.withColumn("_all", F.sum("_n").over(Window.partitionBy(*group, F.lit(0))))
+    offsets = offsets.drop("_n")
     on = F.col("p._piece") == F.col("o._piece")
     for g in group:
         on = on & F.col(f"p.{g}").eqNullSafe(F.col(f"o.{g}"))
-    offsets = small_side(offsets)
+    # without groups there is one row a range, and no more ranges than shuffle partitions
+    offsets = small_side(offsets) if group else F.broadcast(offsets)
     position = (F.col("_pos") - F.col("_start") + F.col("_before")).cast("bigint")
     return (
         pieces.alias("p").join(offsets.alias("o"), on)
-        .select(*[F.col(f"p.{c}") for c in df.columns], position.alias(index))
+        .select(*[F.col(f"p.{c}") for c in df.columns], position.alias(index), *([F.col("_all").alias(size)] if size else []))
     )
 
 
-def take_positions(df: DataFrame, order: Sequence[Column], k: int, in_memory_rows: int = IN_MEMORY_ROWS) -> DataFrame:
-    """The first k rows in the given order.
-
-    A small k is a top-k heap per task; a large one would end on one task, so it is cut by position
-    after a distributed sort.
-    """
-    if k <= in_memory_rows:
-        return df.orderBy(*order).limit(k)
-    return with_row_index(df, order, index="_at").filter(F.col("_at") < k).drop("_at")
-
-
 def assign_slice(df: DataFrame, order: Sequence[Column], n: int, slice_col: str = "slice") -> DataFrame:
     """Deterministic dispatch: data row r belongs to slice r mod n."""
     return with_row_index(df, order, index="_at").withColumn(slice_col, F.pmod("_at", F.lit(n)).cast("int")).drop("_at")
@@ -80,17 +74,10 @@ def slice_rows(df: DataFrame, order: Sequence[Column], n: int, i: int) -> DataFr
 def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column], rank: str = "rank_in_run",
                 percent: str | None = "percent_rank") -> DataFrame:
     """1-based rank in each group and its share of the way to the last; groups may be huge."""
-    ranked = with_row_index(df, order, group, "_at")
-    out = ranked.withColumn(rank, F.col("_at") + 1)
+    out = with_row_index(df, order, group, "_at", "_size").withColumn(rank, F.col("_at") + 1)
     if percent:
-        sizes = ranked.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
-        on = F.lit(True)
-        for g in group:  # a null group is a group
-            on = on & F.col(f"o.{g}").eqNullSafe(F.col(f"s.{g}"))
-        out = out.alias("o").join(sizes.alias("s"), on).select("o.*", "_size").withColumn(
-            percent, F.when(F.col("_size") > 1, F.col("_at") / (F.col("_size") - 1)).otherwise(F.lit(0.0))
-        ).drop("_size")
-    return out.drop("_at")
+        out = out.withColumn(percent, F.when(F.col("_size") > 1, F.col("_at") / (F.col("_size") - 1)).otherwise(F.lit(0.0)))
+    return out.drop("_at", "_size")
 
 
 def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaylake.functions import predicates as P
 from assaylake.operators.aggregates import first_row
-from assaylake.operators.indexing import IN_MEMORY_ROWS, take_positions, with_row_index
+from assaylake.operators.indexing import with_row_index
 from assaylake.operators.joins import without
+from assaylake.operators.topk import Key, first_rows
 from assaylake.session import materialize
 
 # Names of the selection legs.
@@ -18,30 +19,23 @@ EXPLOIT, EXPLORE = "exploitation", "exploration"
 CENTROID, DIVERSITY = "cluster_centroid", "diversity_random"
 
 
-def top_k(df: DataFrame, k: int, by: str, ascending: bool = True, key: str = "molecule_hash") -> DataFrame:
-    """Best k rows, missing scores last, ties broken by key.
+def top_k(df: DataFrame, k: int | Callable[[int], int], by: str, ascending: bool = True, key: str = "molecule_hash") -> DataFrame:
+    """Best k rows, best first, missing scores last, ties broken by key.
 
-    Fails on a rank column without any value: its "best" rows would be arbitrary. The check looks at
-    the k chosen rows only, so the input is not computed a second time.
+    Fails on a rank column without any value: its "best" rows would be arbitrary. ``k`` may be a function of the number
+    of rows.
     """
-    score = F.col(by).asc_nulls_last() if ascending else F.col(by).desc_nulls_last()
-    best = take_positions(df, [score, F.col(key).asc()], k)
-    if k > IN_MEMORY_ROWS:
-        if best.filter(F.col(by).isNotNull()).isEmpty() and not best.isEmpty():
-            raise ValueError(f"no value in rank column {by}")
-        return best
-    known = F.max(F.col(by).isNotNull()).over(Window.partitionBy(F.lit(0)))
-    refuse = F.raise_error(F.lit(f"no value in rank column {by}")).cast("boolean")
-    return best.withColumn("_known", known).filter(F.when(F.col("_known"), True).otherwise(refuse)).drop("_known")
+    keys = [Key(F.col(by), ascending), Key(F.col(key))]
+    return first_rows(df, keys, k, needs_value=by).orderBy(*[x.order for x in keys])
 
 
-def sample_order(key: str, seed: str) -> list[Column]:
-    return [F.md5(F.concat(F.lit(seed), F.col(key).cast("string"))).asc(), F.col(key).asc()]
+def sample_order(key: str, seed: str) -> list[Key]:
+    return [Key(F.md5(F.concat(F.lit(seed), F.col(key).cast("string")))), Key(F.col(key))]
 
 
 def sample_k(df: DataFrame, k: int, seed: str, key: str = "molecule_hash") -> DataFrame:
     """Exactly min(k, rows) rows without replacement; the same rows on every run."""
-    return take_positions(df, sample_order(key, seed), k)
+    return first_rows(df, sample_order(key, seed), k)
 
 
 def select_for_labelling(pool: DataFrame, k_exploit: int, k_explore: int, by: str = "docking_score",
@@ -70,8 +64,7 @@ def elite_pool(screening: DataFrame, k: int = 20_000, by: str = "final_score") -
 
 def top_percent(df: DataFrame, percent: float, by: str, ascending: bool = True, key: str = "molecule_hash") -> DataFrame:
     """The best ``percent`` of the rows, rounded down to whole rows."""
-    k = int(df.count() * percent / 100.0)
-    return top_k(df, k, by, ascending, key)
+    return top_k(df, lambda rows: int(rows * percent / 100.0), by, ascending, key)
 
 
 def cluster_best(members: DataFrame, cluster: str = "cluster_id", rank: str = "rank") -> DataFrame:
@@ -84,7 +77,7 @@ def select_elite(clustered: DataFrame, n_struct: int, n_random: int, seed: str =
     """Best of each cluster up to n_struct, then random others; a shortage of clusters is made up
     for by more random ones."""
     reps = cluster_best(clustered, cluster, rank)
-    chosen = materialize(take_positions(reps, [F.col(rank).asc(), F.col(key).asc()], n_struct), "chosen")
+    chosen = materialize(first_rows(reps, [Key(F.col(rank)), Key(F.col(key))], n_struct), "chosen")
     n_chosen = chosen.count()
     rest = without(clustered, chosen, key)
     drawn = sample_k(rest, n_random + max(0, n_struct - n_chosen), seed, key)
@@ -106,6 +99,7 @@ def discovery_rate(df: DataFrame, k: int, proxy: str, docking: str, key: str = "
 def replay_mix(elite: DataFrame, original: DataFrame, fraction: float, seed: str = "replay",
                key: str = "molecule_hash") -> DataFrame:
     """Elite rows plus ``fraction`` times as many rows of the original training set."""
+    elite = materialize(elite, "elite")  # read three times; counted from the written copy
     extra = sample_k(without(original, elite, key), int(elite.count() * fraction), seed, key)
     return elite.withColumn("origin", F.lit("elite")).unionByName(
         extra.withColumn("origin", F.lit("original")), allowMissingColumns=True)
@@ -141,6 +135,6 @@ def hash_split(df: DataFrame, fraction: float, key: str = "molecule_hash", seed:
 def positional_split(df: DataFrame, order: Sequence[Column], fraction: float = 0.9,
                      names: Sequence[str] = ("train", "valid")) -> DataFrame:
     """First ``fraction`` of the rows in order, and the rest."""
-    cut = int(df.count() * fraction)
-    return with_row_index(df, order, index="_at").withColumn(
-        "split", F.when(F.col("_at") < cut, names[0]).otherwise(names[1])).drop("_at")
+    cut = F.floor(F.col("_rows") * F.lit(float(fraction)))
+    return with_row_index(df, order, index="_at", size="_rows").withColumn(
+        "split", F.when(F.col("_at") < cut, names[0]).otherwise(names[1])).drop("_at", "_rows")

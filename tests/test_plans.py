@@ -19,8 +19,11 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_top_k_is_a_heap(spark):
-    assert "TakeOrderedAndProject" in plan(G.top_k(T.screening(spark, SF).select("molecule_hash", "docking_score"), 10, "docking_score"))
+@pytest.mark.parametrize("k", [10, 900])
+def test_no_task_gathers_the_top_k(spark, k):
+    """No heap of k rows a task and no exchange into one partition, whatever k is."""
+    p = plan(G.top_k(T.screening(spark, SF).select("molecule_hash", "docking_score"), k, "docking_score"))
+    assert "TakeOrdered" not in p and "GlobalLimit" not in p and "SinglePartition" not in p and "rangepartitioning" in p
 
 
 def test_dedup_combines_before_the_shuffle(spark):

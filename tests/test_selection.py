@@ -1,8 +1,11 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from assaylake.operators import selection as G
-from assaylake.operators.indexing import take_positions
+from assaylake.operators import topk
+from assaylake.operators.topk import Key
 from conftest import rows
 
 
@@ -24,10 +27,48 @@ def test_top_k_refuses_empty_rank_column(spark):
     assert G.top_k(df.limit(0), 1, "s").count() == 0
 
 
-def test_large_k_equals_small_k(spark):
-    df = pool(spark, 300)
-    order = [F.col("docking_score").asc(), F.col("molecule_hash").asc()]
-    assert rows(take_positions(df, order, 120, in_memory_rows=10), "molecule_hash") == rows(take_positions(df, order, 120), "molecule_hash")
+def awkward(n):
+    """Ties, nulls, NaN, signed zero, infinities and huge integers."""
+    rng = random.Random(n)
+    real = lambda: rng.choice([None, float("nan"), 0.0, -0.0, float("inf"), float("-inf"), 1.5, rng.randint(-5, 5) / 2, rng.random()])
+    whole = lambda: rng.choice([None, 2**63 - 1, -2**63, 2**53, 2**53 + 1, rng.randint(-3, 3)])
+    return [(real(), whole(), rng.choice([None, "", "a", "ab", "abcdefgh1", "abcdefgh0", "é", chr(0)]), i) for i in range(n)]
+
+
+@pytest.mark.parametrize("enough", [0, topk.ENOUGH])
+@pytest.mark.parametrize("ascending", [True, False])
+def test_first_rows_equal_a_sort_for_every_k(spark, monkeypatch, enough, ascending):
+    monkeypatch.setattr(topk, "ENOUGH", enough)
+    df = spark.createDataFrame(awkward(400), "x double, n bigint, s string, id int").repartition(5).cache()
+    for first in (["x", "n"], ["n", "s"], ["s", "x"]):
+        keys = [Key(F.col(c), ascending) for c in first] + [Key(F.col("id"))]
+        in_order = [r.id for r in df.orderBy(*[k.order for k in keys]).collect()]
+        for k in (0, 1, 37, 200, 390, 1_000):
+            assert {r[0] for r in rows(topk.first_rows(df, keys, k), "id")} == set(in_order[:k]), (first, k)
+    df.unpersist()
+
+
+def test_selection_narrows_large_tables(spark, monkeypatch):
+    """Few rows are left for the sort, also where a third of all rows tie on the score and where texts share a start."""
+    monkeypatch.setattr(topk, "ENOUGH", 200)
+    sorted_rows = []
+    plain = topk.with_row_index
+    monkeypatch.setattr(topk, "with_row_index", lambda df, *a, **b: (sorted_rows.append(df.count()), plain(df, *a, **b))[1])
+    n = 30_000
+    df = spark.range(n).select(F.format_string("h%06d", F.col("id") * 7 % n).alias("molecule_hash"),
+                               F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.col("id").cast("double") / 10).alias("s"))
+    for k in (1, 100, 5_000, 10_030, 29_000):
+        got = [r[0] for r in G.top_k(df, k, "s").collect()]
+        assert got == [r[0] for r in df.orderBy("s", "molecule_hash").limit(k).collect()], k
+        assert rows(G.sample_k(df, k, "x"), "molecule_hash") == rows(df.orderBy(F.md5(F.concat(F.lit("x"), "molecule_hash"))).limit(k), "molecule_hash")
+    assert sum(x < n / 20 for x in sorted_rows) >= 8 and max(sorted_rows) < n / 2
+
+
+def test_share_and_needed_value(spark):
+    df = pool(spark, 201)
+    assert topk.first_rows(df, [Key(F.col("molecule_hash"))], lambda rows: rows // 10).count() == 20
+    with pytest.raises(ValueError, match="no value in rank column s"):
+        G.top_k(df.withColumn("s", F.lit(None).cast("double")), 5_000, "s")
 
 
 def test_sample_is_exact_and_independent_of_layout(spark):
