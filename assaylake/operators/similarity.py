@@ -64,7 +64,8 @@ def _prefix_postings(sets: DataFrame, sketch: DataFrame, min_sim: float) -> Data
     keep = F.col("size") - F.ceil(F.col("size") * F.lit(min_sim) - F.lit(1e-9)).cast("int") + 1
     ranked = sets.withColumn("sketch", sketch.scalar()).select(
         "sid", "size", F.slice(F.sort_array(F.transform("fp", pack)), F.lit(1), keep).alias("prefix"))
-    prefix = ranked.select("sid", "size", F.posexplode("prefix").alias("pos", "packed"))
+    # outer: an inner one gets a filter on its size and would sort every set three times; no prefix is empty
+    prefix = ranked.select("sid", "size", F.posexplode_outer("prefix").alias("pos", "packed"))
     # a bucket with a count of 1 has a bit only one set holds, which has no partner
     return prefix.filter(F.col("packed") >= F.lit(2 << 32)).select("sid", "size", "pos", (F.col("packed") % low).cast("int").alias("bit"))
 
