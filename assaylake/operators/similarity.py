@@ -17,7 +17,7 @@ from assaylake.functions.fingerprints import overlap
 from assaylake.session import materialize, small_side
 
 SKETCH = 1 << 18
-STEPS = (0.5, 0.25, 0.1)  # thresholds tried before all pairs with a common bit
+CUTS = (0.0, 0.5, 0.8, 1.0)  # shares of a set's bits, rare ones first, after which a best-partner search may stop
 
 
 def _at_least(both: Column, size_a: Column, size_b: Column, min_sim: float) -> Column:
@@ -145,21 +145,64 @@ def similarity_join(a: DataFrame, b: DataFrame | None, min_sim: float, id_col: s
     )
 
 
-def max_similarity(a: DataFrame, previous: DataFrame, min_sim: float, id_col: str, fp: str = "fp") -> DataFrame:
-    """(id, max_sim) for every row of ``a``: the best similarity to a previous set, 0 below min_sim.
+def best_partners(a: DataFrame, b: DataFrame, min_sim: float) -> DataFrame:
+    """(set_id, max_sim): for each set of ``a`` the similarity of its best partner in ``b``, if that is ≥ ``min_sim``.
 
-    ``min_sim=0`` gives the true maximum. The threshold falls step by step: a set with a partner above
-    a threshold has its best one there, so only the others go on to the next, dearer step.
+    A search over posting lists in the order of their impact: the bits of a set that few sets of ``b`` hold come
+    first, and shared bits are counted pair by pair. After a share of the bits a set that was not met can at most
+    share the rest, so the search for a set ends when its best partner so far beats that bound; what it met and
+    could still win is compared in full. The long lists of common bits are read only for sets without any good partner.
     """
+    numbered = lambda sets: materialize(sets.withColumn("sid", F.monotonically_increasing_id()), "sets")
+    a, b = numbered(a), numbered(b)
+    sketch = materialize(bit_sketch(b), "sketch")
+    low32 = F.lit(1 << 32)
+    pack = lambda bit: F.get(F.col("sketch"), bit % SKETCH) * low32 + bit
+    held = F.filter(F.sort_array(F.transform("fp", pack)), lambda x: x >= low32)  # the others are in no set of b
+    ranked = a.withColumn("sketch", sketch.scalar()).select("sid", "size", held.alias("bits"))
+    active = materialize(ranked, "ranked").withColumn("low", F.lit(0.0))
+    postings = b.select(F.explode("fp").alias("bit"), F.col("sid").alias("sid_b"), F.col("size").alias("size_b"))
+    pair = ["sid", "sid_b", "size", "size_b"]
+    sim = lambda both: both.cast("double") / (F.col("size") + F.col("size_b") - both).cast("double")
+    counts: DataFrame | None = None
+    found: list[DataFrame] = []
+    for start, stop in zip(CUTS, CUTS[1:], strict=False):
+        at = lambda share: F.floor(F.size("bits") * F.lit(share)).cast("int")
+        part = F.slice("bits", at(start) + 1, at(stop) - at(start))
+        wanted = active.select("sid", "size", "low", F.explode_outer(part).alias("packed")).withColumn("bit", (F.col("packed") % low32).cast("int"))
+        least = F.greatest("low", F.lit(min_sim)) - F.lit(1e-9)
+        met = wanted.join(postings, "bit").filter((F.col("size_b") >= F.col("size") * least) & (F.col("size") >= F.col("size_b") * least))
+        hits = met.groupBy(*pair).agg(F.count(F.lit(1)).alias("c"))
+        if counts is not None:
+            hits = hits.unionByName(counts).groupBy(*pair).agg(F.sum("c").alias("c"))
+        counts = materialize(hits, "counts")
+        best = counts.groupBy("sid").agg(F.max(sim(F.col("c"))).alias("low"))
+        left = F.size("bits") - at(stop)
+        state = materialize(active.drop("low").join(best, "sid", "left").withColumn("low", F.coalesce("low", F.lit(0.0))).withColumn("left", left), "state")
+        settled = F.col("left") <= F.greatest("low", F.lit(min_sim)) * F.col("size")
+        ended = counts.join(state.filter(settled).select("sid", "low", "left"), "sid")
+        most = F.least(F.col("c") + F.col("left"), "size", "size_b")
+        open_ = ended.filter((F.col("left") > 0) & (sim(most) >= F.col("low")) & _at_least(most, F.col("size"), F.col("size_b"), min_sim))
+        compared = open_.select(*pair).join(a.select("sid", F.col("fp").alias("fp_a")), "sid").join(
+            b.select(F.col("sid").alias("sid_b"), F.col("fp").alias("fp_b")), "sid_b").select(*pair, overlap(F.col("fp_a"), F.col("fp_b")).alias("c"))
+        exact = ended.filter("left = 0").select(*pair, "c").unionByName(compared)
+        exact = exact.filter(_at_least(F.col("c"), F.col("size"), F.col("size_b"), min_sim))
+        found.append(exact.groupBy("sid").agg(F.max(sim(F.col("c"))).alias("max_sim")))
+        active = state.filter(~settled).select("sid", "size", "bits", "low")
+        if stop < 1 and active.isEmpty():
+            break
+        counts = counts.join(active.select("sid"), "sid", "left_semi")
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out.join(a.select("sid", "set_id"), "sid").select("set_id", "max_sim")
+
+
+def max_similarity(a: DataFrame, previous: DataFrame, min_sim: float, id_col: str, fp: str = "fp") -> DataFrame:
+    """(id, max_sim) for every row of ``a``: the best similarity to a previous set, 0 below min_sim; ``min_sim=0`` gives the true maximum."""
     sets_a, members = distinct_sets(a, id_col, fp)
     sets_b, _ = distinct_sets(previous, id_col, fp)
-    left, sets_b, best = materialize(sets_a, "sets"), materialize(sets_b, "sets"), None
-    for t in [*[s for s in STEPS if s > min_sim], min_sim]:
-        found = materialize(set_pairs(left, sets_b, t).groupBy(F.col("set_a").alias("set_id")).agg(
-            F.max(_similarity(F.col("inter"), F.col("size_a"), F.col("size_b"))).alias("max_sim")), "best")
-        best = found if best is None else best.unionByName(found)
-        left = materialize(left.join(found, "set_id", "left_anti"), "sets")
-    found = members.join(best, "set_id").select(id_col, "max_sim")
+    found = members.join(best_partners(sets_a, sets_b, min_sim), "set_id").select(id_col, "max_sim")
     return a.select(id_col).join(found, id_col, "left").withColumn("max_sim", F.coalesce("max_sim", F.lit(0.0)))
 
 

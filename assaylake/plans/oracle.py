@@ -83,6 +83,8 @@ def with_tables(body: str) -> str:
         return body
     head = ", ".join(f"{name} AS ({CTES[name].strip()})" for name in CTES if name in need)
     text = body.strip()
+    if text.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {head}, {text[15:]}"
     if text.upper().startswith("WITH "):
         return f"WITH {head}, {text[5:]}"
     return f"WITH {head} {text}"

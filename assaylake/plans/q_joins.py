@@ -205,6 +205,23 @@ _FP_CTE = """
          sets AS (SELECT doc_id, count(*) AS size, md5(string_agg(bit, ',' ORDER BY bit)) AS set_id FROM post GROUP BY 1)"""
 
 
+# the sequential rule, one leader a step, over all documents that have a partner
+CLUSTER_CTE = _FP_CTE.replace("WITH ", "WITH RECURSIVE ", 1) + """,
+         link AS (
+             SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM post x JOIN post y ON x.bit = y.bit AND x.doc_id <> y.doc_id GROUP BY ALL)
+             JOIN sets sa ON sa.doc_id = a JOIN sets sb ON sb.doc_id = b WHERE shared * 100 >= 65 * (sa.size + sb.size - shared)),
+         walk AS (
+             SELECT DISTINCT a AS id, CAST(NULL AS BIGINT) AS leader FROM link
+             UNION ALL
+             (WITH alive AS (SELECT id FROM walk WHERE leader IS NULL),
+                   degree AS (SELECT l.a AS id, count(*) AS d FROM link l JOIN alive x ON x.id = l.a JOIN alive y ON y.id = l.b GROUP BY 1),
+                   lead AS (SELECT x.id FROM alive x LEFT JOIN degree USING (id) ORDER BY coalesce(d, 0) DESC, x.id LIMIT 1)
+              SELECT x.id, CASE WHEN x.id = lead.id OR l.b IS NOT NULL THEN lead.id END
+              FROM alive x CROSS JOIN lead LEFT JOIN link l ON l.a = lead.id AND l.b = x.id)),
+         clusters AS (SELECT d.doc_id, coalesce(w.leader, d.doc_id) AS cluster_id
+                      FROM documents d LEFT JOIN (SELECT id, leader FROM walk WHERE leader IS NOT NULL) w ON w.id = d.doc_id)"""
+
+
 @query("j9_similarity_join", _FP_CTE + """,
          rep AS (SELECT set_id, min(doc_id) AS rep, count(*) AS copies, any_value(size) AS size FROM sets GROUP BY 1),
          rpost AS (SELECT p.doc_id, p.bit FROM post p JOIN rep r ON r.rep = p.doc_id),

@@ -55,6 +55,27 @@ def test_max_similarity_equals_brute_force(spark, seed):
         assert got[i] == pytest.approx(max(sims, default=0.0))
 
 
+@pytest.mark.parametrize("seed", range(30, 34))
+def test_best_partner_equals_brute_force(spark, seed):
+    """Sparse and dense sets, boilerplate bits that all sets hold, copies, partners that share common bits only."""
+    rng = random.Random(seed)
+    common = list(range(1_000, 1_000 + rng.randrange(1, 30)))
+    some = lambda n: [sorted({rng.randrange(400) for _ in range(rng.randrange(0, 40))} | set(common if rng.random() < 0.7 else [])) for _ in range(n)]
+    new, old = some(40), some(60)
+    old += new[:3] + [new[5] + [5_000]] * 4
+    for low in (0.0, 0.3):
+        got = dict(rows(Z.max_similarity(as_df(spark, new), as_df(spark, old), low, "id"), "id", "max_sim"))
+        for i, s in enumerate(new):
+            sims = [len(set(s) & set(o)) / len(set(s) | set(o)) for o in old if s and o]
+            best = max(sims, default=0.0)
+            assert got[i] == pytest.approx(best if best >= low else 0.0), (i, low)
+
+
+def test_best_partner_without_any_old_set(spark):
+    new, none = as_df(spark, [[1, 2], []]), as_df(spark, [[]])
+    assert rows(Z.max_similarity(new, none, 0.0, "id"), "id", "max_sim") == [(0, 0.0), (1, 0.0)]
+
+
 def sequential_leaders(n, edges):
     near = {i: set() for i in range(n)}
     for a, b in edges:
