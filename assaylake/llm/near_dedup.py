@@ -230,11 +230,13 @@ def _whole_links(bucket: pa.Table, idf: Idf) -> pa.Table:
     return pa.table({c: pa.array([f[i] for f in found], pa.binary()) for i, c in enumerate("ab")})
 
 
-def _tile_links(tile: pa.Table, idf: Idf) -> pa.Table:
-    """(bucket, hub, k, d) for a tile: each text's nearest linked hub, links that join its texts into the classes of all
-    their links with hubs, and texts of another such class than a hub's up to twice the distance of a link from it.
+def _tile_links(tile: pa.Table, idf: Idf, turn: int | None = None) -> pa.Table:
+    """Rows of a tile, of three kinds.
 
-    Rows of hubs as texts are given in tile 0 only.
+    (bucket, hub, k, d): each text's nearest linked hub, and links that join its texts into the classes of all their links
+    with hubs. Where ``turn`` tells the round, also one row (…, k, far) for each text with hubs of another such class
+    up to twice the distance of a link from it, ``far`` holding their numbers and distances; and (…, hub, i)
+    for each hub, if there is such a text. Rows of hubs as texts are given in tile 0 only.
     """
     tile = tile.combine_chunks()
     keys, hub, sets = tile.column("k").to_pylist(), np.asarray(tile.column("hub")), _Sets(tile.column("text"), idf)
@@ -246,17 +248,36 @@ def _tile_links(tile: pa.Table, idf: Idf) -> pa.Table:
         classes, one = np.unique(of[near], return_index=True)
         found |= {(i, x) for x in near[one]}
         of[np.isin(of, classes)] = of[h]
+    far = np.zeros((sets.n, 0), dtype=bool)
     if len(hubs):
         wanted = ~hub | (tile.column("tile")[0].as_py() == 0)
         nearest = d.argmin(axis=0)
         found |= {(nearest[x], x) for x in np.flatnonzero((d.min(axis=0) <= LINK) & wanted)}
-        found |= set(zip(*np.nonzero((d > LINK) & (d <= 2 * LINK) & (of[hubs][:, None] != of) & wanted), strict=True))
-    bucket = tile.column("bucket")[0].as_py()
-    return pa.table({"bucket": pa.array([bucket] * len(found), pa.int64()), "hub": pa.array([keys[hubs[i]] for i, _ in found], pa.binary()),
-                     "k": pa.array([keys[x] for _, x in found], pa.binary()), "d": pa.array([d[i, x] for i, x in found], pa.float64())})
+        far = ((d > LINK) & (d <= 2 * LINK) & (of[hubs][:, None] != of) & wanted).T
+    some = np.flatnonzero(far.any(axis=1)) if turn is not None else np.zeros(0, dtype=np.int64)
+    x, i = np.nonzero(far[some])
+    offsets = np.concatenate([[0] * (len(found) + 1), np.cumsum(np.bincount(x, minlength=len(some)))]).astype(np.int32)
+    named = hubs if len(some) else []
+    offsets = np.append(offsets, np.repeat(offsets[-1], len(named)).astype(np.int32))
+    n = len(found) + len(some) + len(named)
+    gap, other = [None] * len(found), [None] * (n - len(found))
+    place = {c: pa.array([tile.column(c)[0].as_py() if c in tile.column_names else None] * n, pa.int64()) for c in ("bucket", "chunk", "tile")}
+    return pa.table({
+        **place, "turn": pa.array([turn] * n, pa.int32()),
+        "hub": pa.array([keys[hubs[h]] for h, _ in found] + [None] * len(some) + [keys[h] for h in named], pa.binary()),
+        "k": pa.array([keys[t] for _, t in found] + [keys[t] for t in some] + [None] * len(named), pa.binary()),
+        "d": pa.array([d[h, t] for h, t in found] + other, pa.float64()),
+        "far": pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(
+            [pa.array(i.astype(np.int32)), pa.array(d.T[some][x, i])], names=["i", "d"])),
+        "i": pa.array(gap + [None] * len(some) + list(range(len(named))), pa.int32())})
 
 
-_TILE = "bucket bigint, hub binary, k binary, d double"
+def _in_round(shared, turn: int):
+    return lambda tile: _tile_links(tile, shared.value, turn)
+
+
+_PLACE = ("bucket", "chunk", "tile", "turn")
+_TILE = "bucket bigint, chunk bigint, tile bigint, turn int, hub binary, k binary, d double, far array<struct<i:int,d:double>>, i int"
 
 
 def _deal(of: Column | str, n: Column | str) -> Column:
@@ -274,14 +295,19 @@ def _across_classes(tiles: DataFrame, roots: DataFrame, texts: DataFrame, shared
     at most d(x) + 0.2 from that hub, so ``tiles`` has the row of y. Only such y of another class
     than the hub's are compared with the hub's texts, 64 of them with 256 texts in a task.
     """
-    of = lambda c: roots.select(F.col("a").alias(c), F.col("b").alias(f"{c}_root"))
-    far = tiles.filter(F.col("d") > LINK).join(of("hub"), "hub", "left").join(of("k"), "k", "left")
-    apart = F.coalesce("hub_root", "hub") != F.coalesce("k_root", "k")
-    others = materialize(far.filter(apart).select("bucket", "hub", "k", "d"), "others")
-    own = tiles.filter(F.col("d") <= LINK).groupBy("bucket", "k").agg(F.min(F.struct("d", "hub")).alias("n")).select("bucket", "n.hub", "k", "n.d")
-    own = materialize(own.join(others.select("bucket", "hub").distinct(), ["bucket", "hub"], "left_semi"), "own")
+    of = lambda c: roots.select(F.col("a").alias(c), F.col("b").alias("root"))
+    own = materialize(tiles.filter(F.col("d") <= LINK).groupBy("bucket", "k").agg(F.min(F.struct("d", "hub")).alias("n")).select("bucket", "n.hub", "k", "n.d"), "own")
     reach = own.groupBy("bucket", "hub").agg(F.max("d").alias("most"))
-    others = others.join(reach, ["bucket", "hub"]).filter(F.col("d") <= F.col("most") + LINK).drop("most")
+    # a tile's hubs, 64 at most, with their classes and the farthest of their texts, meet its texts as one array
+    hubs = tiles.filter("i IS NOT NULL").select(*_PLACE, "hub", "i").join(reach, ["bucket", "hub"]).join(of("hub"), "hub", "left")
+    hubs = hubs.groupBy(*_PLACE).agg(F.collect_list(F.struct("i", "hub", F.coalesce("root", "hub").alias("root"), "most")).alias("hubs"))
+    far = tiles.filter(F.size("far") > 0).select(*_PLACE, "k", "far").join(of("k"), "k", "left").withColumn("root", F.coalesce("root", "k"))
+    met = far.join(hubs, list(_PLACE))
+    apart = F.filter("hubs", lambda h: (h["root"] != F.col("root")) & F.exists("far", lambda x: (x["i"] == h["i"]) & (x["d"] <= h["most"] + LINK)))
+    met = met.withColumn("apart", apart).filter(F.size("apart") > 0).select("bucket", "k", "far", F.explode_outer("apart").alias("h"))
+    near = F.filter("far", lambda x: x["i"] == F.col("h.i"))
+    others = materialize(met.select("bucket", F.col("h.hub").alias("hub"), "k", F.get(near, F.lit(0))["d"].alias("d")), "others")
+    own = materialize(own.join(others.select("bucket", "hub").distinct(), ["bucket", "hub"], "left_semi"), "own")
     ends = others.groupBy("bucket", "hub").agg(F.min("d").alias("least"), F.count(F.lit(1)).alias("ny"))
     own = own.join(ends, ["bucket", "hub"]).filter(F.col("d") >= F.col("least") - LINK)
     sizes = materialize(own.groupBy("bucket", "hub").agg(
@@ -341,7 +367,7 @@ def near_duplicate_links(keyed: DataFrame, signed: DataFrame, idf: Idf) -> DataF
         others = others.filter(~F.col("own").eqNullSafe(F.col("chunk"))).select("bucket", "k", "chunk", "tile", F.lit(False).alias("hub"))
         every = large.filter("hub").select("bucket", "k", _deal("k", "chunks").alias("chunk"), _every("tiles").alias("tile"), "hub")
         dealt = others.unionByName(every).join(texts, "k")
-        out = dealt.groupBy("bucket", "chunk", "tile").applyInArrow(lambda t: _tile_links(t, shared.value), _TILE)
+        out = dealt.groupBy("bucket", "chunk", "tile").applyInArrow(_in_round(shared, len(tiled)), _TILE)
         tiled.append(materialize(out, "tiles"))
         near = tiled[-1].filter(F.col("d") <= LINK)
         links.append(near.select(F.col("hub").alias("a"), F.col("k").alias("b")))
@@ -406,9 +432,9 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     found = materialize(near_duplicates(docs, id_col, text_col), "classes_of")
     named = found.filter(F.col(id_col).eqNullSafe(F.col("class_id")))
-    first = named.groupBy(F.col("class_id").alias("_id"), "class_key").agg(F.min("k").alias("_first")).drop("class_key")
-    marked = docs.withColumn("_k", text_key(F.col(text_col)))
+    first = named.groupBy(F.col("class_id").alias("first_id"), "class_key").agg(F.min("k").alias("first")).drop("class_key")
     empty = F.coalesce(F.regexp_count(F.col(text_col), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")), F.lit(0)) == 0
-    kept = marked.join(first.hint("merge"), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_first")), "left_semi")
-    kept = kept.filter(~empty).dropDuplicates([id_col, "_k"])
-    return kept.unionByName(marked.filter(empty)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"),
+                         text_key(F.col(text_col)).alias("k"), empty.alias("empty"))
+    kept = marked.filter("NOT empty").join(first.hint("merge"), F.col("id").eqNullSafe(F.col("first_id")) & (F.col("k") == F.col("first")), "left_semi")
+    return kept.dropDuplicates(["id", "k"]).unionByName(marked.filter("empty")).select("row.*")

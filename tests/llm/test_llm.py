@@ -214,6 +214,11 @@ def test_near_duplicates_odd_rows(docs):
     kept = near_dedup.keep_one_of_each(docs)
     assert kept.columns == docs.columns and key(kept.select("doc_id").collect()) == key([(1,), (None,), (2,), (3,), (4,), (5,)])
     assert near_dedup.near_duplicates(docs.limit(0)).count() == 0 and near_dedup.keep_one_of_each(docs.limit(0)).count() == 0
+    names = [n for n in ("_id", "_k", "id", "k", "first", "empty", "row", "first_id") if n not in docs.columns]
+    clashing = docs.selectExpr("*", *[f"concat(doc_id, '{n}') AS `{n}`" for n in names])
+    kept = near_dedup.keep_one_of_each(clashing)
+    assert kept.columns == clashing.columns
+    assert all(r[n] == (None if r.doc_id is None else f"{r.doc_id}{n}") for r in kept.collect() for n in names)
 
 
 def test_components(spark):
