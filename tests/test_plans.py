@@ -54,11 +54,9 @@ def test_no_cartesian_products(spark, make):
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
-def test_library_never_collects_rows_by_design():
-    """No localCheckpoint, RDD loops or toPandas outside the bounded Pareto block."""
+def test_library_has_no_local_copies():
+    """No localCheckpoint, cross join, RDD loop or toPandas; ``collect`` and ``first`` read tables of a stated bound."""
     root = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "assaylake")
     for path in glob.glob(f"{root}/**/*.py", recursive=True):
         text = open(path).read()
-        assert "localCheckpoint" not in text and "crossJoin" not in text and "mapPartitions" not in text, path
-        if not path.endswith("pareto.py"):
-            assert "toPandas" not in text, path
+        assert not any(x in text for x in ("localCheckpoint", "crossJoin", "mapPartitions", "toPandas")), path

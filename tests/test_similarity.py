@@ -123,15 +123,27 @@ def dominated(points, low):
     return [bool(((pts <= p).all(axis=1) & (pts < p).any(axis=1)).any()) for p in pts]
 
 
-@pytest.mark.parametrize("block", [20_000, 7])
-def test_pareto_equals_brute_force(spark, monkeypatch, block):
-    monkeypatch.setattr(pareto, "BLOCK", block)
-    rng = random.Random(block)
+@pytest.mark.parametrize("tile,held,cells", [(2_048, 20_000, 4_096), (7, 5, 30)])
+def test_pareto_equals_brute_force(spark, monkeypatch, tile, held, cells):
+    for name, value in (("TILE", tile), ("HELD", held), ("CELLS", cells)):
+        monkeypatch.setattr(pareto, name, value)
+    rng = random.Random(tile)
     pts = [(rng.randint(0, 30), rng.randint(0, 30), rng.randint(0, 30)) for _ in range(200)] + [(30, 0, 30)] * 5
     df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(pts)] + [(999, None, 1.0, 1.0)], "id int, a double, b double, c double")
     got = rows(pareto.pareto_front(df.repartition(5), [("a", True), ("b", False), ("c", True)]), "id")
     want = [i for i, d in enumerate(dominated(pts, [True, False, True])) if not d]
     assert [g[0] for g in sorted(got)] == want
+    one = rows(pareto.pareto_front(df, [("a", True)]), "id")
+    assert [g[0] for g in sorted(one)] == [i for i, p in enumerate(pts) if p[0] == min(x[0] for x in pts)]
+    assert pareto.pareto_front(df.limit(0), [("a", True), ("b", False)]).count() == 0
+
+
+def test_pareto_of_fifty_thousand_survivors(spark):
+    """Points of a plane do not beat each other; those behind it are beaten."""
+    plane = spark.range(50_000).select("id", F.rand(1).alias("a"), F.rand(2).alias("b")).withColumn("c", -F.col("a") - F.col("b"))
+    behind = plane.select((F.col("id") + 50_000).alias("id"), *[(F.col(c) + 1e-7).alias(c) for c in "abc"])
+    front = pareto.pareto_front(plane.unionByName(behind), [("a", True), ("b", True), ("c", True)])
+    assert front.agg(F.count("*"), F.max("id")).first() == (50_000, 49_999)
 
 
 def test_minhash_pairs_are_true_pairs(spark):
