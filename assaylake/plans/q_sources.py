@@ -146,11 +146,27 @@ def _(spark, sf):
     return out
 
 
-@query("s8_write_table", "SELECT molecule_hash, global_id, seq FROM registry WHERE run_id = 'cycle2'")
+@query("s8_write_table", "SELECT molecule_hash, global_id, run_id, seq FROM registry")
 def _(spark, sf):
     path = scratch_path(spark, "registry")
     W.write_table(T.registry_keys(spark, sf), path, ["run_id"], ["molecule_hash"])
-    return spark.read.parquet(path).filter(F.col("run_id") == "cycle2").select("molecule_hash", "global_id", "seq")
+    return spark.read.parquet(path).select("molecule_hash", "global_id", "run_id", "seq")
+
+
+@query("s8_write_bucketed", """
+    SELECT r.molecule_hash, r.run_id, s.docking_score, s.toxicity_label FROM registry r JOIN screening s ON s.molecule_hash = r.molecule_hash""")
+def _(spark, sf):
+    return bucketed_join(spark, sf)
+
+
+def bucketed_join(spark, sf):
+    """Two tables written in the same buckets and joined bucket by bucket."""
+    names = []
+    for df in (T.registry_keys(spark, sf).select("molecule_hash", "run_id"), T.screening(spark, sf).select("molecule_hash", "docking_score", "toxicity_label")):
+        path = scratch_path(spark, "bucketed")
+        names.append("bucketed_" + path.rpartition("-")[2])
+        W.write_bucketed(df, names[-1], buckets=16, path=path)
+    return spark.table(names[0]).join(spark.table(names[1]).hint("merge"), "molecule_hash")
 
 
 @query("s10_export_csv", "SELECT doc_id, sha256(text) AS molecule_hash, length(text) AS chars FROM documents")

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from assaylake.functions import scalars as S
 from assaylake.operators.aggregates import best_result, first_row
+from assaylake.session import scratch_path
+from assaylake.sources.writers import write_bucketed
 
 BASE = "store://generated"
 
@@ -20,19 +22,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def registry_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per generated string; texts that occur twice are registered twice."""
-    d = table(spark, sf_dir, "documents")
+_WRITTEN: dict[tuple, str] = {}
+
+
+def identities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, source, molecule_hash) of every document: the identity dictionary.
+
+    Texts are read and hashed once for a state of the documents (files, sizes and times), whatever number of derived
+    tables needs the hashes. It is bucketed and sorted by the hash, as many buckets as shuffle partitions, so grouping
+    and joining by the hash shuffles nothing of it.
+    """
+    docs = table(spark, sf_dir, "documents")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{sf_dir.rstrip('/')}/documents.parquet")
+    state = tuple(files.agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime")).first())
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key = (spark.sparkContext.applicationId, sf_dir, buckets, state)
+    if key not in _WRITTEN:
+        path = scratch_path(spark, "identity")
+        name = "identity_" + path.rpartition("-")[2]
+        write_bucketed(docs.select("doc_id", "source", S.molecule_hash(F.col("text")).alias("molecule_hash")), name, buckets=buckets, path=path)
+        _WRITTEN[key] = name
+    return spark.table(_WRITTEN[key])
+
+
+def _registered(molecule_hash, *more) -> list:
     shard = F.regexp_extract("source", r"(\d+)", 1)
     doc = F.col("doc_id").cast("string")
-    return d.select(
-        S.molecule_hash(F.col("text")).alias("molecule_hash"),
-        F.col("text").alias("smiles"),
+    return [
+        molecule_hash.alias("molecule_hash"), *more,
         F.concat(F.lit("gen_shard"), shard, F.lit("_idx"), doc).alias("global_id"),
         F.concat(F.lit(f"{BASE}/shard_"), shard, F.lit("/SDF/"), doc, F.lit(".sdf")).alias("sdf_path"),
         F.when(F.col("doc_id") % 10 == 0, "cycle2").otherwise("cycle1").alias("run_id"),
         F.col("doc_id").alias("seq"),
-    )
+    ]
+
+
+def registry_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per generated string; texts that occur twice are registered twice."""
+    return table(spark, sf_dir, "documents").select(*_registered(S.molecule_hash(F.col("text")), F.col("text").alias("smiles")))
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,16 +68,17 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The registry without the strings themselves, for operators that only need ids."""
-    return first_row(registry_raw(spark, sf_dir).drop("smiles", "sdf_path"), "molecule_hash", ["seq"])
+    rows = identities(spark, sf_dir).select(*_registered(F.col("molecule_hash"))).drop("sdf_path")
+    return first_row(rows, "molecule_hash", ["seq"])
 
 
 def screening_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    d = identities(spark, sf_dir)
     lab = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     i = F.col("doc_id")
     num = lambda c: c.cast("double")
     return d.join(lab, "doc_id", "left").select(
-        S.molecule_hash(F.col("text")).alias("molecule_hash"),
+        "molecule_hash",
         i.alias("seq"),
         F.when(i % 13 != 0, F.lit(0.0) - num((i * 37) % 700) / 10.0).alias("docking_score"),
         (num((i * 17) % 101) / 100.0).alias("qed_score"),
@@ -81,7 +109,7 @@ def oracle_by_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", S.molecule_hash(F.col("text")).alias("molecule_hash"))
+    return identities(spark, sf_dir).select("doc_id", "molecule_hash")
 
 
 TIE = ("day", "attempt", "batch_id", "task", "delta_g")

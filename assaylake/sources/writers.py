@@ -60,9 +60,14 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), clus
     writer.parquet(path)
 
 
-def write_bucketed(df: DataFrame, table: str, key: str = "molecule_hash", buckets: int = 64, mode: str = "overwrite") -> None:
-    """Managed table bucketed and sorted by key, so that joins of such tables need no shuffle."""
-    df.write.mode(mode).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+def write_bucketed(df: DataFrame, table: str, key: str = "molecule_hash", buckets: int = 64, mode: str = "overwrite",
+                   path: str | None = None) -> None:
+    """Table bucketed and sorted by key, one file a bucket, so that joins of such tables need no shuffle.
+
+    Managed, or at ``path`` if one is given.
+    """
+    writer = df.repartition(buckets, key).write.mode(mode).bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def replace_table(df: DataFrame, path: str) -> None:
