@@ -83,6 +83,26 @@ def _(spark, sf):
     return R.read_score_shards(spark, write_score_files(spark, sf), _SCORES)
 
 
+@query("s3_skipped_files", """
+    WITH d AS (SELECT CAST(regexp_extract(source, '(\\d+)', 1) AS INTEGER) AS shard, count(*) AS n FROM documents GROUP BY 1)
+    SELECT shard, CASE WHEN shard % 5 = 0 THEN 0 ELSE n END AS n_read, CASE WHEN shard % 5 = 0 THEN 1 ELSE 0 END AS n_files_skipped FROM d""")
+def _(spark, sf):
+    """A file a shard; every fifth one is named as compressed and is not."""
+    path = scratch_path(spark, "shards")
+    d = T.table(spark, sf, "documents").select("doc_id", F.regexp_extract("source", r"(\d+)", 1).alias("shard"))
+    d.repartition("shard").write.partitionBy("shard").option("header", "true").csv(path)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for file in fs.globStatus(hadoop.Path(f"{path}/shard=*/*.csv")):
+        if int(file.getPath().getParent().getName().split("=")[1]) % 5 == 0:
+            fs.rename(file.getPath(), file.getPath().suffix(".gz"))
+    of = lambda c: F.regexp_extract(c, r"shard=(\d+)/", 1).cast("int").alias("shard")
+    doc = R.read_score_shards(spark, f"{path}/shard=*/*", schemas.T.StructType.fromDDL("doc_id bigint"), path_col="path")
+    read = doc.filter("doc_id IS NOT NULL").select(of("path"), F.lit(1).alias("line"), F.lit(0).alias("skipped"))
+    skipped = R.skipped_files(spark, f"{path}/shard=*/*").select(of("path"), F.lit(0).alias("line"), F.lit(1).alias("skipped"))
+    return read.unionByName(skipped).groupBy("shard").agg(F.sum("line").alias("n_read"), F.sum("skipped").cast("int").alias("n_files_skipped"))
+
+
 @query("s4_read_molecules", "SELECT p_name AS smiles, count(*) AS n FROM part GROUP BY 1")
 def _(spark, sf):
     path = scratch_path(spark, "molecules")

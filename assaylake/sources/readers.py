@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -34,8 +34,8 @@ def read_lines(spark: SparkSession, path_glob: str) -> DataFrame:
     before = F.coalesce(F.sum("n").over(by_file.orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     splits = splits.withColumn("before", before).withColumn(
         "first_filled", F.min(F.col("filled_id") - F.col("first_id") + F.col("before")).over(by_file))
-    splits = small_side(splits.select(F.xxhash64("path").alias("file"), "start", "first_id", "before", "first_filled"))
-    return raw.withColumn("file", F.xxhash64("path")).join(splits, ["file", "start"]).select(
+    splits = small_side(splits.select("path", "start", "first_id", "before", "first_filled"))
+    return raw.join(splits, ["path", "start"]).select(
         "path", (F.col("id") - F.col("first_id") + F.col("before")).alias("line_no"), "first_filled", "line")
 
 
@@ -68,47 +68,85 @@ def build_manifest(lines: DataFrame, base: str) -> DataFrame:
         F.concat(F.lit(f"{base.rstrip('/')}/shard_"), shard, F.lit("/SDF/"), index, F.lit(".sdf")).alias("sdf_path"))
 
 
-def _headers(spark: SparkSession, path_glob: str, mixed: bool) -> list[tuple[str, list[str]]]:
-    """(header line, paths it applies to). One line is read unless files may differ."""
-    text = spark.read.option("ignoreCorruptFiles", "true" if mixed else "false").text(path_glob).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value",
-        F.monotonically_increasing_id().alias("id"))
-    if not mixed:
-        first = text.filter(F.col("start") == 0).limit(1).collect()
-        return [(row["value"], [path_glob]) for row in first]
-    # one row per file: the line its first split begins with
-    tops = text.filter(F.col("start") == 0).groupBy("path").agg(F.min_by("value", "id").alias("value"))
-    found = tops.groupBy("value").agg(F.collect_list("path").alias("paths")).collect()
-    return [(row["value"], row["paths"]) for row in found]
+def _present(spark: SparkSession, globs: str | Sequence[str]) -> list[str]:
+    """The globs that match a file."""
+    out = []
+    for glob in [globs] if isinstance(globs, str) else globs:
+        try:
+            spark.read.text(glob)
+            out.append(glob)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return out
+
+
+def _filled_lines(spark: SparkSession, globs: Sequence[str]) -> DataFrame:
+    """(path, start, id, line) of the lines that are not blank; a file that cannot be read gives none."""
+    lines = spark.read.option("ignoreCorruptFiles", "true").text(list(globs)).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("id"), F.col("value").alias("line"))
+    return lines.filter(F.trim("line") != "")
+
+
+def _first_lines(lines: DataFrame) -> DataFrame:
+    """(path, top, header): id and text of the line that the first split of each file begins with."""
+    return lines.filter(F.col("start") == 0).groupBy("path").agg(F.min("id").alias("top"), F.min_by("line", "id").alias("header"))
 
 
 def read_score_shards(spark: SparkSession, path_globs: str | list[str], schema: T.StructType,
                       mixed_headers: bool = True, path_col: str | None = None) -> DataFrame:
     """Many CSV shards with headers as one frame, columns matched by name.
 
-    The first lines of the files are read, and files with equal headers are scanned together; a
-    column a file lacks is null, an unreadable file is skipped, no file at all gives an empty frame,
-    NaN becomes null. With ``mixed_headers=False`` every file of a glob must have the header of the
+    All files are one scan, whatever their headers: every line is parsed by place, as many places as the widest
+    header has, and meets its file's row of the header dictionary, which says in which place each wanted column
+    stands. A column a file lacks is null, an unreadable file is skipped (``skipped_files`` tells which), no file at
+    all gives an empty frame, NaN becomes null. With ``mixed_headers=False`` every file of a glob must have the header of the
     first one: that saves the pass over the first lines, and a file with another header or one that
     cannot be read is an error. ``path_col`` names a column for the path of a row's file.
     """
-    extra = [F.col("_metadata.file_path").alias(path_col)] if path_col else []
-    out = spark.createDataFrame([], T.StructType([*schema.fields, *([T.StructField(path_col, T.StringType())] if path_col else [])]))
-    for glob in [path_globs] if isinstance(path_globs, str) else path_globs:
-        try:
-            headers = _headers(spark, glob, mixed_headers)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            continue
-        for header, paths in headers:
-            cols = [w.strip() for w in header.split(",")]
-            text = T.StructType([T.StructField(c, T.StringType()) for c in cols])
-            part = (spark.read.schema(text).option("header", "true").option("enforceSchema", "true" if mixed_headers else "false")
-                    .option("escape", '"').option("ignoreCorruptFiles", "true" if mixed_headers else "false").csv(paths))
-            by_lower = {c.lower(): c for c in cols}
-            out = out.unionByName(part.select(*[_typed(by_lower.get(f.name.lower()), f) for f in schema.fields], *extra))
-    return out
+    globs = _present(spark, path_globs)
+    if not globs:
+        return spark.createDataFrame([], T.StructType([*schema.fields, *([T.StructField(path_col, T.StringType())] if path_col else [])]))
+    if not mixed_headers:
+        out = None
+        for glob in globs:
+            part = _one_header(spark, glob, schema, path_col)
+            out = part if out is None else out.unionByName(part)
+        return out
+    lines = _filled_lines(spark, globs)
+    tops = small_side(_first_lines(lines))
+    width = tops.agg(F.max(F.size(F.split("header", ",")))).first()[0] or 1
+    places = [f"c{i}" for i in range(width)]
+    parsed = lambda c: F.from_csv(c, ", ".join(f"{p} string" for p in places), {"escape": '"'})
+    names = F.transform(F.array(*[F.col(f"h.{p}") for p in places]), lambda n: F.lower(F.trim(n)))
+    at = [F.array_position("names", f.name.lower()).cast("int").alias(f"at{i}") for i, f in enumerate(schema.fields)]
+    dictionary = small_side(tops.select("path", "top", parsed("header").alias("h")).select("path", "top", names.alias("names")).select("path", "top", *at))
+    # parsed before the join, so once a line however many columns are wanted
+    rows = lines.select("path", "id", parsed("line").alias("f")).join(dictionary, "path").filter(F.col("id") != F.col("top"))
+    fields = F.array(*[F.col(f"f.{p}") for p in places])
+    values = rows.select("path", *[F.get(fields, F.col(f"at{i}") - 1).alias(f.name) for i, f in enumerate(schema.fields)])
+    return values.select(*[_typed(f.name, f) for f in schema.fields], *([F.col("path").alias(path_col)] if path_col else []))
+
+
+def skipped_files(spark: SparkSession, path_globs: str | list[str]) -> DataFrame:
+    """(path, length) of the files that hold bytes of which no line could be read, in place of an error for each."""
+    globs = _present(spark, path_globs)
+    if not globs:
+        return spark.createDataFrame([], "path string, length bigint")
+    files = spark.read.format("binaryFile").load(globs).select(F.col("_metadata.file_path").alias("path"), "length")
+    return files.filter("length > 0").join(_first_lines(_filled_lines(spark, globs)).select("path"), "path", "left_anti")
+
+
+def _one_header(spark: SparkSession, glob: str, schema: T.StructType, path_col: str | None) -> DataFrame:
+    """Files of one header, which is read from one of them and checked in all."""
+    first = spark.read.text(glob).filter((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != "")).limit(1).collect()
+    cols = [w.strip() for w in first[0]["value"].split(",")] if first else []
+    text = T.StructType([T.StructField(c, T.StringType()) for c in cols])
+    part = spark.read.schema(text).option("header", "true").option("enforceSchema", "false").option("escape", '"').csv(glob)
+    by_lower = {c.lower(): c for c in cols}
+    return part.select(*[_typed(by_lower.get(f.name.lower()), f) for f in schema.fields],
+                       *([F.col("_metadata.file_path").alias(path_col)] if path_col else []))
 
 
 def _typed(source: str | None, field: T.StructField) -> Column:

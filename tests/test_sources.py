@@ -55,6 +55,20 @@ def test_score_shards_by_name_with_mixed_headers(spark, tmp_path):
     assert rows(got, "smiles", "qed", "sa_score", "mw") == [("C", 0.5, None, None), ("N", None, 2.0, None), ("O", None, 3.0, None)]
 
 
+def test_score_shards_quotes_blanks_and_unreadable_files(spark, tmp_path):
+    put(f"{tmp_path}/a.csv", '\n  \n QED , smiles\n0.5,"C,""x"""\n\n0.25\n1,N,extra,more\n')
+    put(f"{tmp_path}/b.csv", "smiles\nO\n")
+    put(f"{tmp_path}/only_header.csv", "smiles,qed\n")
+    put(f"{tmp_path}/empty.csv", "")
+    put(f"{tmp_path}/bad.csv.gz", "smiles,qed\nP,1\n")
+    got = R.read_score_shards(spark, f"{tmp_path}/*", schemas.PROPERTY_SCORES, path_col="path")
+    assert rows(got, "smiles", "qed") == sorted([('C,"x"', 0.5), (None, 0.25), ("N", 1.0), ("O", None)], key=repr)
+    assert {r.path.rpartition("/")[2] for r in got.collect()} == {"a.csv", "b.csv"}
+    skipped = R.skipped_files(spark, [f"{tmp_path}/*", f"{tmp_path}/none/*"]).collect()
+    assert [(r.path.rpartition("/")[2], r.length) for r in skipped] == [("bad.csv.gz", 15)]
+    assert R.skipped_files(spark, f"{tmp_path}/none/*").count() == 0
+
+
 def test_score_shards_of_one_family_are_checked(spark, tmp_path):
     put(f"{tmp_path}/a.csv", "smiles,toxicity\nC,1\n")
     put(f"{tmp_path}/b.csv", "toxicity,smiles\n0,N\n")
