@@ -208,29 +208,38 @@ def scatter_bins(df: DataFrame, by: Sequence[str], x: str, y: str, x_width: floa
 
 
 def quality_report(df: DataFrame, cols: Sequence[str], run: str = "run_id", numeric_text: Sequence[str] = ()) -> DataFrame:
-    """Per run and column: null rate, distinct values (approximate), constant flag, unparsable count.
+    """Per run and column: null rate, distinct values, constant flag, and how many values are no numbers in the columns
+    ``numeric_text``. All exact.
 
-    One pass over the table for all columns. ``is_constant`` is exact: it compares min and max.
+    The columns are stacked as (column, value) and equal values counted before the shuffle, so a value that most rows
+    share is one row a task. For columns of very many values see ``column_sketches``.
     """
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for c in cols:
-        text = F.col(c).cast("string")
-        bad = F.count_if(F.col(c).isNotNull() & S.to_number(text).isNull()) if c in numeric_text else F.lit(0)
-        aggs.append(F.struct(
-            F.count(c).alias("n_known"),
-            F.approx_count_distinct(c).alias("n_distinct_approx"),
-            F.coalesce(F.min(text) == F.max(text), F.lit(False)).alias("is_constant"),
-            bad.cast("bigint").alias("n_unparsable"),
-        ).alias(c))
-    wide = df.groupBy(run).agg(*aggs)
-    one = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("m")) for c in cols]))
-    return wide.select(run, "_n", one.alias("e")).select(
-        run, "e.column_name", F.col("_n").alias("n_rows"),
-        ((F.col("_n") - F.col("e.m.n_known")) / F.col("_n") * 100.0).alias("null_pct"),
-        F.col("e.m.n_distinct_approx").alias("n_distinct_approx"),
-        F.col("e.m.is_constant").cast("int").alias("is_constant"),
-        F.col("e.m.n_unparsable").alias("n_unparsable"),
-    )
+    cell = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"), F.lit(c in numeric_text).alias("numeric")) for c in cols]
+    values = df.select(run, F.explode(F.array(*cell)).alias("c")).select(run, "c.*").groupBy(run, "column_name", "numeric", "value").agg(
+        F.count(F.lit(1)).alias("n"))
+    missing, bad = F.col("value").isNull(), F.col("numeric") & F.col("value").isNotNull() & S.to_number(F.col("value")).isNull()
+    of = lambda what: F.sum(F.when(what, F.col("n")).otherwise(0))
+    return values.groupBy(run, "column_name").agg(
+        F.sum("n").alias("n_rows"), (of(missing) / F.sum("n") * 100.0).alias("null_pct"), F.count("value").alias("n_distinct"),
+        (F.count("value") == 1).cast("int").alias("is_constant"), of(bad).alias("n_unparsable"))
+
+
+def column_sketches(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ("run_id",)) -> DataFrame:
+    """(by…, column_name, n_rows, n_known, sketch): a HyperLogLog sketch of each column's values per group, a few kB each.
+
+    Stored with a run, they tell the distinct values of any union of runs without reading the runs again.
+    """
+    parts = [F.struct(F.count(c).alias("n_known"), F.hll_sketch_agg(F.col(c).cast("string")).alias("sketch")).alias(f"s{i}") for i, c in enumerate(cols)]
+    wide = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), *parts)
+    one = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"s{i}").alias("s")) for i, c in enumerate(cols)]))
+    return wide.select(*by, "n_rows", one.alias("e")).select(*by, "e.column_name", "n_rows", "e.s.n_known", "e.s.sketch")
+
+
+def distinct_over(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by…, column_name, n_rows, n_known, n_distinct_approx) of united groups; the error is about 1.6 percent."""
+    return sketches.groupBy(*by, "column_name").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_known").alias("n_known"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_distinct_approx"))
 
 
 def population_vs_unique_mean(df: DataFrame, key: str, c: str) -> DataFrame:

@@ -24,16 +24,16 @@ from assaylake.sources import writers as W
 
 
 def ingest_cycle(spark: SparkSession, shard_glob: str, base: str, scores: list[DataFrame], run_id: str, created_at: str,
-                 registry: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(registry with the new molecules, screening rows of this run).
+                 registry: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(registry with the new molecules, screening rows of this run, one row with what was skipped).
 
     One lazy plan: shard lines → manifest → score join → identity → conform → insert of new hashes.
     """
-    lines, _ = R.read_shard_lines(spark, shard_glob)
+    lines, skipped = R.read_shard_lines(spark, shard_glob)
     joined = J.join_scores(R.build_manifest(lines, base), *scores)
     hashed = S.stamp(joined.withColumn("molecule_hash", S.molecule_hash(F.col("smiles"))), run_id, created_at)
     screening = R.conform(hashed, schemas.SCREENING, {"qed": "qed_score", "toxicity": "toxicity_label"})
-    return M.insert_new(registry, R.conform(hashed, schemas.REGISTRY)), A.first_row(screening, "molecule_hash", screening.columns[1:])
+    return M.insert_new(registry, R.conform(hashed, schemas.REGISTRY)), A.first_row(screening, "molecule_hash", screening.columns[1:]), skipped
 
 
 @dataclass

@@ -88,11 +88,14 @@ def _(spark, sf):
     return cycle_metrics(spark, sf)
 
 
-@query("a6_bin_distribution", "SELECT cycle, " + ", ".join(
+BIN_SQL = "SELECT cycle, " + ", ".join(
     f"round(count(CASE WHEN {cond} THEN 1 END) / CAST(count(*) AS DOUBLE) * 100, 6) AS {name}" for name, cond in {
         "strong_pct": "final_score < -40", "medium_pct": "final_score BETWEEN -40 AND -30", "weak_pct": "final_score > -30",
-        "high_qed_pct": "qed_score > 0.6", "medium_qed_pct": "qed_score BETWEEN 0.2 AND 0.6", "low_qed_pct": "qed_score < 0.2"}.items())
-    + ", count(*) AS total FROM cycles GROUP BY 1")
+        "high_qed_pct": "qed_score > 0.6", "medium_qed_pct": "qed_score BETWEEN 0.2 AND 0.6", "low_qed_pct": "qed_score < 0.2"}.items()) \
+    + ", count(*) AS total FROM cycles GROUP BY 1"
+
+
+@query("a6_bin_distribution", BIN_SQL)
 def _(spark, sf):
     out = A.bin_distribution(V.cycles(spark, sf).select("cycle", "final_score", "qed_score"))
     return rounded(out, *[c for c in out.columns if c.endswith("_pct")])
@@ -154,11 +157,14 @@ def _with_safety(spark, sf):
     return V.cycles(spark, sf).select("cycle", S.safety_class(F.col("toxicity_label")).alias("safety"), "final_score", "qed_score")
 
 
-@query("a13_quartiles", f"""
+QUARTILE_SQL = f"""
     SELECT cycle, safety, round(min(final_score), 6) AS lowest, round(quantile_cont(final_score, 0.25), 6) AS q1,
            round(quantile_cont(final_score, 0.5), 6) AS median, round(quantile_cont(final_score, 0.75), 6) AS q3,
            round(max(final_score), 6) AS highest
-    FROM (SELECT cycle, {_SAFETY} AS safety, final_score FROM cycles) GROUP BY 1, 2""")
+    FROM (SELECT cycle, {_SAFETY} AS safety, final_score FROM cycles) GROUP BY 1, 2"""
+
+
+@query("a13_quartiles", QUARTILE_SQL)
 def _(spark, sf):
     return rounded(A.quartiles(_with_safety(spark, sf), ["cycle", "safety"], "final_score"), "lowest", "q1", "median", "q3", "highest")
 
@@ -186,16 +192,28 @@ def _(spark, sf):
     return A.scatter_bins(V.cycles(spark, sf), ["cycle"], "qed_score", "final_score", 0.1, 5.0)
 
 
-_QUALITY_COLS = ["docking_score", "qed_score", "sa_score", "logp", "mw", "toxicity_label"]
+QUALITY_COLS = ["docking_score", "qed_score", "sa_score", "logp", "mw", "toxicity_label"]
+
+
+def quality_sql(run: str, cols: list[str], source: str, text: tuple[str, ...] = ()) -> str:
+    return " UNION ALL ".join(f"""
+    SELECT {run}, '{c}' AS column_name, count(*) AS n_rows, round((count(*) - count({c})) / CAST(count(*) AS DOUBLE) * 100, 6) AS null_pct,
+           count(DISTINCT {c}) AS n_distinct, CAST(count(DISTINCT {c}) = 1 AS INTEGER) AS is_constant,
+           CAST({f"count(CASE WHEN {c} IS NOT NULL AND TRY_CAST({c} AS DOUBLE) IS NULL THEN 1 END)" if c in text else "0"} AS BIGINT) AS n_unparsable
+    FROM {source} GROUP BY 1""" for c in cols)
 
 
-@query("a14_quality_report", " UNION ALL ".join(f"""
-    SELECT r.run_id, '{c}' AS column_name, count(*) AS n_rows, round((count(*) - count({c})) / CAST(count(*) AS DOUBLE) * 100, 6) AS null_pct,
-           CAST(coalesce(min({c}) = max({c}), false) AS INTEGER) AS is_constant, CAST(0 AS BIGINT) AS n_unparsable
-    FROM screening s JOIN registry r ON r.molecule_hash = s.molecule_hash GROUP BY 1""" for c in _QUALITY_COLS))
+@query("a14_quality_report", quality_sql("run_id", [*QUALITY_COLS, "method", "raw"], """(
+        SELECT s.*, r.run_id, CASE WHEN s.qed_score >= 0 THEN 'dock' END AS method,
+               CASE s.seq % 17 WHEN 0 THEN 'n/a' WHEN 1 THEN NULL WHEN 2 THEN '' ELSE CAST(s.seq % 100 AS VARCHAR) END AS raw
+        FROM screening s JOIN registry r ON r.molecule_hash = s.molecule_hash)""", ("raw",)))
 def _(spark, sf):
+    """Numbers, a constant column, and a text column with gaps, blanks and marks for missing values."""
     rows = T.screening(spark, sf).join(T.registry_keys(spark, sf).select("molecule_hash", "run_id"), "molecule_hash")
-    return rounded(A.quality_report(rows, _QUALITY_COLS).drop("n_distinct_approx"), "null_pct")
+    at = F.col("seq") % 17
+    raw = F.when(at == 0, "n/a").when(at == 1, None).when(at == 2, "").otherwise((F.col("seq") % 100).cast("string"))
+    rows = rows.withColumn("method", F.when(F.col("qed_score") >= 0, "dock")).withColumn("raw", raw)
+    return rounded(A.quality_report(rows, [*QUALITY_COLS, "method", "raw"], numeric_text=["raw"]), "null_pct")
 
 
 _TOPS = """

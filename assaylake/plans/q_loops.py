@@ -8,7 +8,7 @@ from assaylake import schemas
 from assaylake.plans import cycle as C
 from assaylake.plans import views as V
 from assaylake.plans.catalog import query
-from assaylake.plans.q_aggregates import CYCLE_SQL
+from assaylake.plans.q_aggregates import BIN_SQL, CYCLE_SQL, QUARTILE_SQL, quality_sql, rounded
 from assaylake.plans.q_sources import write_shards
 from assaylake.sources import tables as T
 from assaylake.sources.readers import conform
@@ -27,7 +27,7 @@ _INGEST = """
          m AS (SELECT sha256(line) AS molecule_hash, 'gen_shard' || shard_id || '_idx' || local_index AS global_id FROM l WHERE line <> '')"""
 
 
-def _ingest(spark, sf):
+def _ingest(spark, sf, stray: str = ""):
     old = T.registry_raw(spark, sf).filter("run_id = 'cycle2'").withColumn("created_at", F.lit("2023-01-01 00:00:00").cast("timestamp"))
     old = conform(C.A.first_row(old, "molecule_hash", ["seq"]), schemas.REGISTRY)
     d = T.table(spark, sf, "documents")
@@ -36,7 +36,7 @@ def _ingest(spark, sf):
         d.select(line.alias("smiles"), (F.col("n_chars").cast("double")).alias("mw")),
         d.join(T.table(spark, sf, "labels"), "doc_id").select(line.alias("smiles"), F.col("toxic").cast("int").alias("toxicity")),
     ]
-    return C.ingest_cycle(spark, write_shards(spark, sf), T.BASE, scores, "cycle3", "2024-01-01 00:00:00", old)
+    return C.ingest_cycle(spark, write_shards(spark, sf, stray), T.BASE, scores, "cycle3", "2024-01-01 00:00:00", old)
 
 
 @query("r1_ingest_registry", _INGEST + """,
@@ -55,22 +55,56 @@ def _(spark, sf):
     return _ingest(spark, sf)[1].select("molecule_hash", "mw", "toxicity_label")
 
 
-@query("r2_label_cycle", """
+@query("r1_skipped_lines", """
+    SELECT count(*) AS n_lines_skipped, count(DISTINCT doc_id // 1000) AS n_files_skipped FROM documents
+    WHERE doc_id // 1000 % 4 = 0 AND trim(regexp_replace(text, '[\\r\\n]+', ' ', 'g'), ' \t') <> ''""")
+def _(spark, sf):
+    """Every fourth folder does not tell its shard."""
+    return _ingest(spark, sf, "part_")[2]
+
+
+_LABEL_SQL = """
     WITH o AS (SELECT molecule_hash, row_number() OVER (ORDER BY molecule_hash) - 1 AS i FROM selected),
          map AS (SELECT i // 8 AS batch_id, 'mol_' || (i % 8) AS mol_index, molecule_hash FROM o),
          res AS (SELECT l_suppkey AS batch_id, 'mol_' || l_linenumber AS mol_index, 0.0 - l_quantity AS delta_g, l_returnflag <> 'R' AS ok FROM lineitem),
-         fresh AS (SELECT molecule_hash, min(CASE WHEN ok THEN delta_g END) AS delta_g, 'run9' AS run_id FROM map JOIN res USING (batch_id, mol_index) GROUP BY 1)
-    SELECT * FROM fresh
-    UNION ALL SELECT molecule_hash, delta_g, run_id FROM gold WHERE molecule_hash NOT IN (SELECT molecule_hash FROM fresh)""")
-def _(spark, sf):
+         fresh AS (SELECT molecule_hash, min(CASE WHEN ok THEN delta_g END) AS delta_g, 'run9' AS run_id FROM map JOIN res USING (batch_id, mol_index) GROUP BY 1)"""
+
+
+def _label_cycle(spark, sf):
+    """(the started round, the validated table, results of unknown batches)."""
     started = C.start_labelling(T.screening(spark, sf), 80, 20, 8)
     lost = F.col("l_returnflag") == "R"
     results = T.table(spark, sf, "lineitem").select(
         F.col("l_suppkey").alias("batch_id"), F.concat(F.lit("mol_"), F.col("l_linenumber").cast("string")).alias("mol_index"),
         (F.lit(0.0) - F.col("l_quantity")).alias("delta_g"), F.when(lost, "Failed_Analysis").otherwise("Success").alias("status"))
     gold = T.gold(spark, sf).withColumn("ts", F.lit("2023-01-01 00:00:00").cast("timestamp"))
-    table, _ = C.finish_labelling(results, started.batch_map, gold, "run9", F.lit("2024-01-01 00:00:00").cast("timestamp"))
-    return table.select("molecule_hash", "delta_g", "run_id")
+    return started, *C.finish_labelling(results, started.batch_map, gold, "run9", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+
+
+@query("r2_label_cycle", _LABEL_SQL + """
+    SELECT * FROM fresh
+    UNION ALL SELECT molecule_hash, delta_g, run_id FROM gold WHERE molecule_hash NOT IN (SELECT molecule_hash FROM fresh)""")
+def _(spark, sf):
+    return _label_cycle(spark, sf)[1].select("molecule_hash", "delta_g", "run_id")
+
+
+@query("r2_batches", _LABEL_SQL + " SELECT batch_id, mol_index, molecule_hash, strategy FROM map JOIN selected USING (molecule_hash)")
+def _(spark, sf):
+    started = C.start_labelling(T.screening(spark, sf), 80, 20, 8)
+    return started.batch_map.join(started.selected, "molecule_hash").select("batch_id", "mol_index", "molecule_hash", "strategy")
+
+
+@query("r2_unlabeled_pool", """
+    SELECT molecule_hash, docking_score, toxicity_label FROM screening WHERE molecule_hash NOT IN (SELECT molecule_hash FROM selected)""")
+def _(spark, sf):
+    return C.start_labelling(T.screening(spark, sf), 80, 20, 8).unlabeled.select("molecule_hash", "docking_score", "toxicity_label")
+
+
+@query("r2_unmatched_results", _LABEL_SQL + """
+    SELECT batch_id, mol_index, delta_g, CASE WHEN ok THEN 'Success' ELSE 'Failed_Analysis' END AS status
+    FROM res r WHERE NOT EXISTS (SELECT 1 FROM map m WHERE m.batch_id = r.batch_id AND m.mol_index = r.mol_index)""")
+def _(spark, sf):
+    return _label_cycle(spark, sf)[2].select("batch_id", "mol_index", "delta_g", "status")
 
 
 @query("r3_learn_cycle")
@@ -96,3 +130,41 @@ def _(spark, sf):
     tables = C.report_cycle(V.cycles(spark, sf), "cycle1", "cycle2")
     both = tables["compare"].unionByName(tables["bin_compare"])
     return both.select("metric", F.round("base_value", 4).alias("base_value"), F.round("new_value", 4).alias("new_value"))
+
+
+def _report(spark, sf, table, *digits):
+    return rounded(C.report_cycle(V.cycles(spark, sf), "cycle1", "cycle2")[table], *digits)
+
+
+@query("r4_metrics", CYCLE_SQL)
+def _(spark, sf):
+    return _report(spark, sf, "metrics", "mean_affinity", "median_affinity", "hit_rate", "elite_rate", "mean_qed", "safety_rate", "gold_rate")
+
+
+@query("r4_bins", BIN_SQL)
+def _(spark, sf):
+    return _report(spark, sf, "bins", *C.BIN_METRICS)
+
+
+@query("r4_quartiles", QUARTILE_SQL)
+def _(spark, sf):
+    return _report(spark, sf, "quartiles", "lowest", "q1", "median", "q3", "highest")
+
+
+@query("r4_landscape", """
+    SELECT cycle, CAST(floor(qed_score / 0.05) AS INTEGER) AS x_bin, CAST(floor(final_score / 5.0) AS INTEGER) AS y_bin, count(*) AS n
+    FROM cycles WHERE qed_score IS NOT NULL AND final_score IS NOT NULL GROUP BY ALL""")
+def _(spark, sf):
+    return _report(spark, sf, "landscape")
+
+
+@query("r4_quality", quality_sql("cycle", ["final_score", "qed_score", "sa_score", "logp", "mw", "docking_score", "toxicity_label"], "cycles"))
+def _(spark, sf):
+    return _report(spark, sf, "quality", "null_pct")
+
+
+@query("r4_gate", f"""
+    WITH m AS ({CYCLE_SQL})
+    SELECT cycle, 'safety_rate' AS metric, safety_rate AS value, CAST(90.0 AS DOUBLE) AS limit_value, CAST(safety_rate >= 90 AS INTEGER) AS passed FROM m""")
+def _(spark, sf):
+    return _report(spark, sf, "gate", "value")

@@ -250,10 +250,10 @@ def _(spark, sf):
 
 
 @query("e22_stamp", """
-    SELECT molecule_hash, 'prod_v1' AS run_id, 'proxy_3' AS model_version FROM predictions""")
+    SELECT molecule_hash, 'prod_v1' AS run_id, '2024-01-01 00:00:00' AS created_at, 'proxy_3' AS model_version FROM predictions""")
 def _(spark, sf):
     p = T.predictions(spark, sf).select("molecule_hash")
-    return S.stamp(p, "prod_v1", "2024-01-01 00:00:00", "proxy_3").select("molecule_hash", "run_id", "model_version")
+    return S.stamp(p, "prod_v1", "2024-01-01 00:00:00", "proxy_3").withColumn("created_at", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query("e23_label_column", "SELECT molecule_hash, delta_g AS label FROM gold WHERE delta_g IS NOT NULL")

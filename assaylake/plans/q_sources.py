@@ -16,15 +16,19 @@ from assaylake.sources import writers as W
 LINES_PER_SHARD = 1000
 
 
-def write_shards(spark, sf) -> str:
-    """One text folder per 1,000 documents, as generator tasks leave them; returns the glob."""
+def write_shards(spark, sf, stray: str = "") -> str:
+    """One text folder per 1,000 documents, as generator tasks leave them; returns the glob.
+
+    With ``stray`` every fourth folder has this in place of ``shard_`` in its name.
+    """
     path = scratch_path(spark, "shards")
     d = T.table(spark, sf, "documents")
     line = F.regexp_replace("text", r"[\r\n]+", " ")
     shard = F.floor(F.col("doc_id") / LINES_PER_SHARD).cast("int")
-    rows = d.select("doc_id", line.alias("value"), F.concat(F.lit("shard_"), shard.cast("string")).alias("task"))
+    name = F.when(shard % 4 == 0, stray or "shard_").otherwise("shard_")
+    rows = d.select("doc_id", line.alias("value"), F.concat(name, shard.cast("string")).alias("task"))
     rows.repartition("task").sortWithinPartitions("task", "doc_id").select("value", "task").write.partitionBy("task").text(path)
-    return f"{path}/task=shard_*/*"
+    return f"{path}/task=*/*"
 
 
 _SHARDS = """

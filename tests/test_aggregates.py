@@ -114,3 +114,21 @@ def test_percent_rank_keeps_a_null_group(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "g string, x int")
     got = I.rank_within(df, ["g"], [F.col("x").asc()])
     assert rows(got, "g", "x", "rank_in_run", "percent_rank") == [("a", 3, 1, 0.0), (None, 1, 1, 0.0), (None, 2, 2, 1.0)]
+
+
+def test_quality_report_counts_values_exactly(spark):
+    df = spark.range(3_000).select(F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 700).alias("v"), F.lit("x").alias("c"), (F.col("id") % 2).alias("run_id"))
+    got = {(r.run_id, r.column_name): r for r in A.quality_report(df, ["v", "c"]).collect()}
+    assert [(got[i, "v"].n_rows, got[i, "v"].n_distinct, got[i, "c"].is_constant) for i in (0, 1)] == [(1_500, 350, 1), (1_500, 350, 1)]
+
+
+def test_sketches_of_runs_unite(spark, tmp_path):
+    df = spark.range(60_000).select((F.col("id") % 20_000).alias("v"), F.lit(None).cast("string").alias("none"),
+                                    F.floor(F.col("id") / 15_000).alias("run_id"))
+    for run in range(4):  # stored per run, as each ends
+        A.column_sketches(df.filter(F.col("run_id") == run), ["v", "none"]).write.parquet(f"{tmp_path}/r={run}")
+    stored = spark.read.parquet(f"{tmp_path}/r=*")
+    assert "sketch" in stored.columns and stored.count() == 8
+    got = {r.column_name: r for r in A.distinct_over(stored).collect()}
+    assert abs(got["v"].n_distinct_approx - 20_000) < 800 and got["none"].n_distinct_approx == 0
+    assert (got["v"].n_rows, got["v"].n_known, got["none"].n_known) == (60_000, 60_000, 0)
