@@ -6,7 +6,8 @@ by distance is the largest by inner product whatever the norms are. A bounded sa
 pieces are small; their means are the centroids, linked into a neighbour graph that every task holds.
 A vector goes to the list of its nearest centroid, and near a boundary also to others whose distance
 is little more. A query walks the graph and searches the lists whose distance ratio is low enough,
-however many these are, and farther ones until it has enough candidates.
+however many these are, and farther ones until it has enough candidates. The ratio is fitted: the true nearest of
+a bounded sample of queries, found by comparing all vectors with them, tell how far their lists are.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ LIST_LENGTH = 200  # vectors of a list, in the mean, while there are fewer than
 MAX_LISTS = 8_192
 DEGREE, BEAM, STEPS = 24, 64, 40
 COPIES, COPY_RATIO = 6, 1.05  # lists of a boundary vector, and how much farther than the nearest they may be
-PROBE_RATIO = 1.35  # how much farther than the nearest a list may be for a query to search it
+FIT_QUERIES = 200  # queries, in the mean, that the ratio is fitted on
+FIT_RECALL = 0.97  # share of their true nearest whose lists the ratio has to take in
+WALK_RECALL = 0.99  # share of the lists within the ratio that the walk has to find for them; else all centroids are compared
 TILE = 1_024  # vectors, and queries, of a list that meet in one task
 
 
@@ -35,6 +38,7 @@ def _augment(v: np.ndarray, top: float) -> np.ndarray:
 
 def _augment_queries(q: np.ndarray, top: float) -> np.ndarray:
     """On (q, 0) scaled to the norm of the augmented vectors, squared distances are 2 top less twice the scaled inner product."""
+    q = q / np.abs(q).max(axis=1, keepdims=True)  # squares of tiny components would vanish
     scale = np.sqrt(top) / np.sqrt((q * q).sum(axis=1, keepdims=True))
     return np.column_stack([q * scale, np.zeros(len(q))])
 
@@ -69,6 +73,7 @@ class Centroids:
         far = rng.integers(0, n, (n, 4))  # a few long links keep the graph in one piece
         self.links = np.concatenate([np.concatenate(links), far], axis=1)
         self.entry = rng.permutation(n)[:BEAM]
+        self.walks = True
 
     def _distance(self, x: np.ndarray, at: np.ndarray) -> np.ndarray:
         return np.sqrt(np.maximum(((x[:, None, :] - self.points[at]) ** 2).sum(axis=2), 0))
@@ -115,8 +120,11 @@ class Centroids:
             before = np.column_stack([np.zeros(len(met), dtype=met.dtype), met[:, :-1]])
             return seen & ((dist <= dist[:, :1] * ratio + 1e-9) | (before < least))
 
-        lists, dist = self.nearest(x)
+        lists, dist = self.nearest(x) if self.walks else self.every(x)
         good = chosen(lists, dist)
+        if not self.walks:
+            row, col = np.nonzero(good)
+            return row, lists[row, col]
         short = good[:, -1] | (np.where(good, own[lists], 0).sum(axis=1) < least)
         row, col = np.nonzero(good & ~short[:, None])
         rows, found = [row], [lists[row, col]]
@@ -134,12 +142,12 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
 
-def _assign(batches: Iterator[pa.RecordBatch], centroids: Centroids, ratio: float, most: int) -> Iterator[pa.RecordBatch]:
+def _assign(batches: Iterator[pa.RecordBatch], centroids: Centroids, ratio: float, most: int, scale: float) -> Iterator[pa.RecordBatch]:
     """(vh, v, list, own) for the lists within ``ratio`` of the nearest one, at most ``most``; ``own`` marks the nearest."""
     for batch in batches:
         for start in range(0, batch.num_rows, 512):
             b = batch.slice(start, 512)
-            x = _augment(_matrix(b.column("v")), centroids.top)
+            x = _augment(_matrix(b.column("v")) / scale, centroids.top)
             lists, dist = centroids.nearest(x)
             good = (dist <= dist[:, :1] * ratio + 1e-9) & np.isfinite(dist) & (np.arange(dist.shape[1]) < most)
             row, col = np.nonzero(good)
@@ -148,12 +156,12 @@ def _assign(batches: Iterator[pa.RecordBatch], centroids: Centroids, ratio: floa
                 ["vh", "v", "list", "own"])
 
 
-def _probe(batches: Iterator[pa.RecordBatch], centroids: Centroids, ratio: float, own: np.ndarray, least: int) -> Iterator[pa.RecordBatch]:
+def _probe(batches: Iterator[pa.RecordBatch], centroids: Centroids, ratio: float, own: np.ndarray, least: int, scale: float) -> Iterator[pa.RecordBatch]:
     """(vh, v, list) for the lists that a query searches."""
     for batch in batches:
         for start in range(0, batch.num_rows, 512):
             b = batch.slice(start, 512)
-            row, lists = centroids.probes(_augment_queries(_matrix(b.column("v")), centroids.top), ratio, own, least)
+            row, lists = centroids.probes(_augment_queries(_matrix(b.column("v")) / scale, centroids.top), ratio, own, least)
             for a in range(0, len(row), 10_000):
                 at = pa.array(row[a:a + 10_000])
                 yield pa.RecordBatch.from_arrays(
@@ -169,15 +177,58 @@ def _tile_search(queries: pa.Table, vectors: pa.Table, k: int) -> pa.Table:
     rough = q @ v.T
     keep = min(len(v), k)
     worst = -np.partition(-rough, keep - 1, axis=1)[:, keep - 1]
-    row, col = np.nonzero(rough >= worst[:, None] - 1e-9 * (1 + np.abs(worst[:, None])))  # and all that may tie
+    worst = np.where(np.isfinite(worst), worst - 1e-9 * (1 + np.abs(worst)), worst)
+    row, col = np.nonzero(rough >= worst[:, None])  # and all that may tie
     return pa.table({"qh": qh[row], "vh": vh[col], "score": (q[row] * v[col]).sum(axis=1)})
 
 
+def _nearest_of(batches: Iterator[pa.RecordBatch], asked: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
+    """(q, v, score): the k nearest to each asked vector among a task's."""
+    held: pa.Table | None = None
+    for batch in batches:
+        v = _matrix(batch.column("v"))
+        with np.errstate(over="ignore", invalid="ignore"):
+            score = np.nan_to_num(v @ asked.T, nan=-np.inf, posinf=np.finfo(np.float64).max)
+        q = np.tile(np.arange(len(asked)), len(v))
+        row = np.repeat(np.arange(len(v)), len(asked))
+        if len(v) > k:
+            least = -np.partition(-score, k - 1, axis=0)[k - 1]
+            good = (score >= least).ravel()
+            q, row = q[good], row[good]
+        new = pa.table({"q": q, "v": batch.column("v").take(pa.array(row)), "score": score[row, q]})
+        held = new if held is None else pa.concat_tables([held, new])
+        order = np.lexsort((-held.column("score").to_numpy(), held.column("q").to_numpy()))
+        q = held.column("q").to_numpy()[order]
+        place = np.arange(len(q)) - np.searchsorted(q, q)
+        held = held.take(pa.array(order[place < k])).combine_chunks()
+    if held is not None:
+        yield from held.to_batches()
+
+
+def fit_ratio(vectors: DataFrame, asked: np.ndarray, centroids: Centroids, scale: float, k: int, recall: float = FIT_RECALL) -> float:
+    """The distance ratio that takes in a list of this share of the true k nearest of the asked vectors."""
+    near = vectors.select("v").mapInArrow(lambda it: _nearest_of(it, asked, k), "q bigint, v array<double>, score double")
+    place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score")))
+    near = near.withColumn("_r", place).filter(F.col("_r") <= k).select("q", "v").toArrow()  # k rows an asked vector
+    lists, dist = centroids.every(_augment(_matrix(near.column("v").combine_chunks()) / scale, centroids.top))
+    holds = (dist <= dist[:, :1] * COPY_RATIO + 1e-9) & (np.arange(dist.shape[1]) < COPIES)
+    to_lists = np.empty((len(asked), len(centroids.points)))
+    order, d = centroids.every(_augment_queries(asked / scale, centroids.top))
+    np.put_along_axis(to_lists, order, d, axis=1)
+    q = near.column("q").to_numpy()
+    need = np.where(holds, np.take_along_axis(to_lists[q], lists, axis=1), np.inf).min(axis=1)
+    ratio = float(np.quantile((need + 1e-9) / (d[q, 0] + 1e-9), recall, method="higher"))
+    inside = int((d <= d[:, :1] * ratio + 1e-9).sum())
+    row, _ = centroids.probes(_augment_queries(asked / scale, centroids.top), ratio, np.ones(len(centroids.points), dtype=np.int64), 0)
+    centroids.walks = len(row) >= WALK_RECALL * inside
+    return ratio
+
+
 def search(embeddings: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, id, score): the k nearest found of each query, by inner product in double precision.
 
     ``queries`` are rows like those of ``embeddings``. A query's own id is no candidate; equal scores go
-    to smaller ids. Vectors that are null, zero, of another length than most, or hold null or
+    to smaller ids. Distances are taken of vectors divided by the largest component. Vectors that are null, zero, of another length than most, or hold null or
     non-finite components take no part, nor do rows without an id; repeated rows count once. Equal vectors
     are one entry of the index with their k + 1 smallest ids, all that an answer can need, so copies
     of a vector cost nothing. With fewer candidates than k all found are returned; an empty table
@@ -206,20 +257,25 @@ def search(embeddings: DataFrame, queries: DataFrame, k: int = 20, id_col: str =
     distinct = materialize(vectors.select("vh", "v").dropDuplicates(["vh"]), "vectors")
     query_ids = materialize(asked.select("vh", "id").distinct(), "queries")
     n = distinct.count()
-    top = distinct.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).first()[0]
+    scale = distinct.agg(F.max(F.array_max(F.transform("v", lambda x: F.abs(x))))).first()[0]
+    top = distinct.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / scale) * (x / scale)))).first()[0]
     part = distinct.filter(F.pmod(F.xxhash64("vh"), F.lit(1_000_000)) < int(min(1.0, SAMPLE / n) * 1_000_000)).select("v").toArrow()
     sample = _matrix(part.column("v").combine_chunks())
     if not len(sample):
         sample = _matrix(distinct.select("v").limit(1).toArrow().column("v").combine_chunks())
-    shared = spark.sparkContext.broadcast(Centroids(sample, float(top), int(min(MAX_LISTS, max(1, n // LIST_LENGTH)))))
+    centroids = Centroids(sample / scale, float(top), int(min(MAX_LISTS, max(1, n // LIST_LENGTH))))
+    asked = materialize(asked.select("vh", "v").dropDuplicates(["vh"]), "asked")
+    m = asked.count()
+    some = asked.filter(F.pmod(F.xxhash64("vh", F.lit(1)), F.lit(1_000_000)) <= int(min(1.0, FIT_QUERIES / max(m, 1)) * 1_000_000)).select("v").toArrow()
+    ratio = fit_ratio(distinct, _matrix(some.column("v").combine_chunks()), centroids, scale, k + 1) if len(some) else float("inf")
+    shared = spark.sparkContext.broadcast(centroids)
     schema = "vh bigint, v array<double>, list bigint"
-    postings = materialize(distinct.mapInArrow(lambda it: _assign(it, shared.value, COPY_RATIO, COPIES), f"{schema}, own boolean"), "postings")
+    postings = materialize(distinct.mapInArrow(lambda it: _assign(it, shared.value, COPY_RATIO, COPIES, scale), f"{schema}, own boolean"), "postings")
     own = np.zeros(len(shared.value.points), dtype=np.int64)  # each vector is one of a single list's own
     for r in postings.filter("own").groupBy("list").count().collect():
         own[r["list"]] = r["count"]
     met = spark.sparkContext.broadcast(own)
-    probes = asked.select("vh", "v").dropDuplicates(["vh"]).mapInArrow(
-        lambda it: _probe(it, shared.value, PROBE_RATIO, met.value, k + 1), schema)
+    probes = asked.mapInArrow(lambda it: _probe(it, shared.value, ratio, met.value, k + 1, scale), schema)
     probes = materialize(probes, "probes")
 
     def tiles(df: DataFrame, name: str) -> DataFrame:

@@ -425,6 +425,40 @@ def test_ann_unequal_norms(spark, monkeypatch):
     assert hit >= 0.95 * 20 * 30
 
 
+def test_ann_of_clusters_searches_few_lists(spark, monkeypatch):
+    """Thousands of lists: recall of 0.9 with under a third of them; a vector of huge components is answered too."""
+    monkeypatch.setattr(ann, "LIST_LENGTH", 4)
+    searched = []
+    fit = ann.fit_ratio
+
+    def spy(vectors, asked, centroids, scale, k):
+        ratio = fit(vectors, asked, centroids, scale, k)
+        row, _ = centroids.probes(ann._augment_queries(asked / scale, centroids.top), ratio, np.ones(len(centroids.points), dtype=np.int64), 21)
+        searched.append(len(row) / len(asked) / len(centroids.points))
+        return ratio
+
+    monkeypatch.setattr(ann, "fit_ratio", spy)
+    rng = np.random.default_rng(14)
+    centres = rng.normal(size=(200, 16))
+    data = centres[rng.integers(0, 200, 8_000)] + 0.3 * rng.normal(size=(8_000, 16))
+    data /= np.linalg.norm(data, axis=1)[:, None]
+    for huge in (False, True):
+        if huge:
+            data = np.vstack([data[:1_500], np.full((1, 16), 1e200)])
+        frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)], "vec_id bigint, embedding array<double>")
+        got = {}
+        for r in ann.search(frame, frame.filter("vec_id % 100 = 0")).collect():
+            got.setdefault(r.query_id, set()).add(r.vec_id)
+        assert sorted(got) == list(range(0, len(data), 100))
+        hit = 0
+        for q, found in got.items():
+            score = data @ data[q]
+            score[q] = -np.inf
+            hit += len(found & {int(i) for i in np.argsort(-score)[:20]})
+        assert hit >= 0.9 * 20 * len(got)
+    assert searched[0] < 1 / 3
+
+
 def test_probes_by_ratio_alone():
     rng = np.random.default_rng(13)
     data = rng.normal(size=(8000, 6))
