@@ -29,6 +29,7 @@ SIMILARITY = 0.8
 RARE_SHARE = 1e-3  # shingles in fewer documents than this share all have the largest idf
 IDF_RANGE = 0.5  # how far the idf of a rare shingle exceeds that of one in every document
 SEGMENT = 3_000_000  # shingles counted at once in a task
+SEGMENT_ROWS = 6_000  # documents of a task, in the mean, at least: below 2,000 every shingle would be locally frequent
 SMALL_BUCKET = 8  # a bucket's texts up to this number go to the pair table
 HUBS, TILE = 64, 256  # in one task, of a bucket larger than both: texts that all others are compared with, and others
 KEY_BUCKETS = 1 << 20
@@ -98,7 +99,8 @@ def fit_idf(texts: DataFrame) -> Idf:
     """
     spark, n = texts.sparkSession, texts.count()
     least, half = max(1.0, RARE_SHARE * n), RARE_SHARE / 2
-    local = texts.mapInArrow(lambda it: _locally_frequent(it, half), "shingle bigint, n bigint, rows bigint")
+    joined = texts.coalesce(max(1, n // SEGMENT_ROWS))  # small files together; larger splits stay as they are
+    local = joined.mapInArrow(lambda it: _locally_frequent(it, half), "shingle bigint, n bigint, rows bigint")
     sums = local.groupBy("shingle").agg(F.sum("n").alias("n"), F.sum("rows").alias("rows"))
     found = sums.filter(F.col("n") + half * (n - F.col("rows")) >= least).select("shingle").toArrow()
     candidates = np.sort(np.asarray(found.column("shingle")).view(np.uint64))
