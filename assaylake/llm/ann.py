@@ -291,9 +291,8 @@ def search(embeddings: DataFrame, queries: DataFrame, k: int = 20, id_col: str =
         lambda a, b: _tile_search(a, b, k + 1), "qh bigint, vh bigint, score double")
     # a vector in several lists has the same score in each
     found = found.groupBy("qh", "vh").agg(F.max("score").alias("score"))
-    best = found.withColumn("_r", F.row_number().over(Window.partitionBy("qh").orderBy(F.desc("score"), "vh")))
-    limit = best.filter(F.col("_r") == k + 1).select("qh", F.col("score").alias("_least"))
-    best = found.join(limit, "qh", "left").filter(F.col("_least").isNull() | (F.col("score") >= F.col("_least")))
+    # the k + 1 best and all that tie with the last of them
+    best = found.withColumn("_r", F.rank().over(Window.partitionBy("qh").orderBy(F.desc("score")))).filter(F.col("_r") <= k + 1)
     answers = best.join(ids, "vh").select("qh", "id", "score")
     answers = answers.withColumn("_r", F.row_number().over(Window.partitionBy("qh").orderBy(F.desc("score"), "id"))).filter(F.col("_r") <= k + 1)
     rows = query_ids.select(F.col("id").alias("query_id"), F.col("vh").alias("qh")).join(answers.drop("_r"), "qh").filter(F.col("id") != F.col("query_id"))
