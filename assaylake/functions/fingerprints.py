@@ -45,7 +45,7 @@ def grams(c: Column, k: int) -> Column:
 def fingerprint(c: Column, n_bits: int = 1 << 31, k: int = 8) -> Column:
     """Sorted distinct set bits: md5 of each k-gram, folded into ``n_bits``."""
     bit = lambda g: F.conv(F.substring(F.md5(g), 1, 8), 16, 10).cast("bigint") % F.lit(n_bits)
-    return F.sort_array(F.array_distinct(F.transform(grams(c, k), lambda g: bit(g).cast("int"))))
+    return F.sort_array(F.array_distinct(F.transform(F.array_distinct(grams(c, k)), lambda g: bit(g).cast("int"))))
 
 
 def set_bits(vector: Column) -> Column:

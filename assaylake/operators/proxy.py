@@ -1,66 +1,57 @@
-"""Surrogate model: hashed k-gram features and boosted trees from Spark ML."""
+"""Surrogate model: hashed k-gram bits and boosted trees that are rows of a table."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assaylake.functions.fingerprints import grams
-from assaylake.operators.aggregates import regression_metrics
+from assaylake.functions.fingerprints import fingerprint
+from assaylake.operators import boosting
+from assaylake.operators.aggregates import regression_metrics, validation_metrics
+from assaylake.operators.boosting import Trees
 from assaylake.operators.selection import hash_split
 
 # Settings of the production model.
 N_BITS, N_TREES, LEARNING_RATE, DEPTH, TRAIN_SHARE = 2048, 500, 0.05, 6, 0.8
 
 
-def featurize(df: DataFrame, text: str = "smiles", n_bits: int = N_BITS, k: int = 3,
-              features: str = "features") -> tuple[DataFrame, DataFrame]:
-    """(rows with a sparse 0/1 vector, one row with the numbers of valid and dropped rows).
+def featurize(df: DataFrame, text: str = "smiles", n_bits: int = N_BITS, k: int = 3, features: str = "bits") -> tuple[DataFrame, DataFrame]:
+    """(rows with their set of bits, one row with the numbers of valid and dropped rows).
 
     A row without a text, or with one too short for any k-gram, is invalid.
     """
-    ready = df.withColumn("_grams", grams(F.col(text), k))
-    valid = F.coalesce(F.size("_grams") > 0, F.lit(False))
-    counts = ready.agg(F.count_if(valid).alias("n_valid"), F.count_if(~valid).alias("n_dropped"))
-    hasher = HashingTF(inputCol="_grams", outputCol=features, numFeatures=n_bits, binary=True)
-    return hasher.transform(ready.filter(valid)).drop("_grams"), counts
+    valid = F.coalesce(F.length(text) >= k, F.lit(False))
+    counts = df.agg(F.count_if(valid).alias("n_valid"), F.count_if(~valid).alias("n_dropped"))
+    return df.filter(valid).withColumn(features, fingerprint(F.col(text), n_bits, k)), counts
 
 
-def train_proxy(train: DataFrame, label: str = "label", features: str = "features", trees: int = N_TREES,
-                rate: float = LEARNING_RATE, depth: int = DEPTH, seed: int = 42) -> GBTRegressionModel:
-    """Squared-error boosting. Rounds follow one another; each tree is grown over all partitions.
+def train_proxy(train: DataFrame, label: str = "label", features: str = "bits", trees: int = N_TREES, rate: float = LEARNING_RATE,
+                depth: int = DEPTH, n_bits: int = N_BITS, weight: str | None = None, valid: DataFrame | None = None, patience: int = 10) -> Trees:
+    """Squared-error boosting; with ``valid`` rows it stops once ``patience`` trees have not helped them."""
+    return boosting.grow(train, n_bits, trees, depth, rate, label, features, weight, valid=valid, patience=patience)
 
-    0/1 features need two bins, which keeps the histograms sent between tasks small. The checkpoint
-    interval cuts the growing lineage of the residuals.
-    """
-    booster = GBTRegressor(featuresCol=features, labelCol=label, predictionCol="prediction", maxIter=trees,
-                           stepSize=rate, maxDepth=depth, maxBins=2, lossType="squared", checkpointInterval=10,
-                           cacheNodeIds=True, seed=seed, maxMemoryInMB=1024)
-    return booster.fit(train)
+
+def evaluate_proxy(model: Trees, rows: DataFrame, label: str = "label", by: Sequence[str] = ("split",), n_bits: int = N_BITS) -> DataFrame:
+    return regression_metrics(model.predict(rows, n_bits), "prediction", label, by)
 
 
-def evaluate_proxy(model: GBTRegressionModel, rows: DataFrame, label: str = "label", by: Sequence[str] = ("split",)) -> DataFrame:
-    return regression_metrics(model.transform(rows), "prediction", label, by)
+def evaluate_against_labels(model: Trees, rows: DataFrame, label: str = "label", n_bits: int = N_BITS) -> DataFrame:
+    """Correlation and RMSE against all labels, the training rows among them."""
+    return validation_metrics(model.predict(rows.filter(F.col(label).isNotNull()), n_bits), "prediction", label)
 
 
-def predict_pool(model: GBTRegressionModel, pool: DataFrame, model_version: str, run_id: str) -> DataFrame:
+def predict_pool(model: Trees, pool: DataFrame, model_version: str, run_id: str, n_bits: int = N_BITS) -> DataFrame:
     """Prediction rows in the layout of the prediction table."""
-    return model.transform(pool).select(
+    return model.predict(pool, n_bits).select(
         "molecule_hash", "smiles", F.col("prediction").alias("predicted_delta_g"),
         F.lit(model_version).alias("model_version"), F.lit(run_id).alias("run_id"))
 
 
-def feature_importance(model: GBTRegressionModel, spark, top: int = 20) -> DataFrame:
-    """The most used bits; the importance vector has one number per feature."""
-    weights = model.featureImportances
-    ranked = sorted(((int(i), float(v)) for i, v in zip(weights.indices, weights.values)), key=lambda x: (-x[1], x[0]))
-    return spark.createDataFrame(
-        [(r + 1, i, v) for r, (i, v) in enumerate(ranked[:top])], "importance_rank int, bit int, importance double")
+def feature_importance(model: Trees, spark) -> DataFrame:
+    """All bits that the model uses, the most important first."""
+    return boosting.importance(model.table(spark))
 
 
 def with_split(df: DataFrame, fraction: float = TRAIN_SHARE, key: str = "molecule_hash") -> DataFrame:
@@ -68,7 +59,7 @@ def with_split(df: DataFrame, fraction: float = TRAIN_SHARE, key: str = "molecul
 
 
 def bootstrap(df: DataFrame, member: int, key: str = "molecule_hash") -> DataFrame:
-    """Bootstrap weights from a hash of the key: a Poisson(1) count of copies, as a weight column."""
+    """Bootstrap weights ``_w`` from a hash of the key: a Poisson(1) count of copies."""
     u = (F.conv(F.substring(F.md5(F.concat(F.lit(f"boot{member}-"), F.col(key).cast("string"))), 1, 8), 16, 10)
          .cast("double") + 0.5) / F.lit(4294967296.0)
     # cumulative Poisson(1) probabilities
@@ -76,24 +67,11 @@ def bootstrap(df: DataFrame, member: int, key: str = "molecule_hash") -> DataFra
     copies = F.lit(len(cuts))
     for i in reversed(range(len(cuts))):
         copies = F.when(u < cuts[i], i).otherwise(copies)
-    return df.withColumn("_w", copies.cast("double")).filter(F.col("_w") > 0)
+    return df.withColumn("_w", copies.cast("bigint")).filter(F.col("_w") > 0)
 
 
 def ensemble_uncertainty(train: DataFrame, pool: DataFrame, members: int = 4, trees: int = 10, depth: int = 3,
-                         label: str = "label", features: str = "features") -> DataFrame:
+                         label: str = "label", rate: float = LEARNING_RATE, n_bits: int = N_BITS) -> DataFrame:
     """(molecule_hash, predicted_delta_g, uncertainty): mean and spread of models on bootstrap samples."""
-    out = pool
-    names = []
-    for m in range(members):
-        booster = GBTRegressor(featuresCol=features, labelCol=label, predictionCol=f"_p{m}", weightCol="_w",
-                               maxIter=trees, stepSize=LEARNING_RATE, maxDepth=depth, maxBins=2, seed=m,
-                               checkpointInterval=10)
-        out = booster.fit(bootstrap(train, m)).transform(out)
-        names.append(f"_p{m}")
-    mean = sum((F.col(n) for n in names), F.lit(0.0)) / F.lit(float(members))
-    spread = sum(((F.col(n) - mean) * (F.col(n) - mean) for n in names), F.lit(0.0)) / F.lit(float(max(1, members - 1)))
-    return out.select("molecule_hash", mean.alias("predicted_delta_g"), F.sqrt(spread).alias("uncertainty"))
-
-
-def dense(df: DataFrame, features: str = "features") -> DataFrame:
-    return df.withColumn(features, vector_to_array(features))
+    models = [train_proxy(bootstrap(train, m), label, trees=trees, rate=rate, depth=depth, n_bits=n_bits, weight="_w") for m in range(members)]
+    return boosting.ensemble(models, pool, n_bits).select("molecule_hash", F.col("prediction").alias("predicted_delta_g"), "uncertainty")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,7 +64,7 @@ def finish_labelling(results: DataFrame, batch_map: DataFrame, gold: DataFrame,
 
 @dataclass
 class LearnRound:
-    model: GBTRegressionModel
+    model: X.Trees
     metrics: DataFrame
     predictions: DataFrame
     screening: DataFrame
@@ -77,7 +76,7 @@ def learn_cycle(gold: DataFrame, registry: DataFrame, screening: DataFrame, mode
                 fp_bits: int = 1 << 31, fp_k: int = 8) -> LearnRound:
     """Train on the labels, score the pool, unify, cluster the elite pool and split it for training."""
     labelled, _ = X.featurize(J.training_set(gold, registry))
-    rows = materialize(X.with_split(labelled), "train")
+    rows = materialize(X.with_split(labelled.drop("smiles")), "train")
     model = X.train_proxy(rows.filter("split = 'train'"), trees=trees, depth=depth)
     everything, _ = X.featurize(registry.select("molecule_hash", "smiles"))
     predictions = materialize(X.predict_pool(model, everything, model_version, run_id), "predictions")

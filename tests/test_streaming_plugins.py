@@ -84,7 +84,7 @@ def test_proxy_beats_the_mean_predictor(learned):
     model = X.train_proxy(data.filter("split = 'train'"), trees=20, depth=2, rate=0.3)
     r = {m["split"]: m for m in X.evaluate_proxy(model, data).collect()}
     assert r["test"]["rmse"] < 5 and r["test"]["r2"] > 0.8
-    top = X.feature_importance(model, data.sparkSession, 3).collect()
+    top = X.feature_importance(model, data.sparkSession).collect()
     assert top and top[0].importance >= top[-1].importance
 
 
