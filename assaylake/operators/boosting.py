@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -26,12 +26,21 @@ MODEL_SCHEMA = "tree int, node int, bit int, gain double, n bigint, value bigint
 _WORD = 64
 
 
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once a row, although ``then`` names it inside of loops."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def words(bits: Column, n_bits: int) -> Column:
     """The set as 64-bit words, in which a bit is found without a search."""
-    one = lambda w: F.aggregate(
-        F.filter(bits, lambda b: F.floor(b / _WORD) == w), F.lit(0).cast("bigint"),
-        lambda acc, b: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), (b % _WORD).cast("int"))))
-    return F.transform(F.sequence(F.lit(0), F.lit((n_bits - 1) // _WORD)), one)
+
+    def pack(found: Column) -> Column:
+        one = lambda w: F.aggregate(
+            F.filter(found, lambda b: F.floor(b / _WORD) == w), F.lit(0).cast("bigint"),
+            lambda acc, b: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), (b % _WORD).cast("int"))))
+        return F.transform(F.sequence(F.lit(0), F.lit((n_bits - 1) // _WORD)), one)
+
+    return _once(bits, pack)
 
 
 def _node_of(packed: Column, bits: Column, depth: int) -> Column:
@@ -88,7 +97,7 @@ class Trees:
 
     def predict(self, rows: DataFrame, n_bits: int, features: str = "bits", prediction: str = "prediction") -> DataFrame:
         """``rows`` with a prediction, row by row: no shuffle and no Python. A row without a set gets null."""
-        total = self.value(words(F.col(features), n_bits)) + F.lit(self.base)
+        total = _once(words(F.col(features), n_bits), lambda packed: self.value(packed) + F.lit(self.base))
         return rows.withColumn(prediction, F.when(F.col(features).isNotNull(), total.cast("double") / F.lit(float(SCALE))))
 
 
@@ -185,10 +194,9 @@ def importance(model: DataFrame) -> DataFrame:
 
 def ensemble(members: Sequence[Trees], rows: DataFrame, n_bits: int, features: str = "bits") -> DataFrame:
     """``rows`` with ``prediction`` and ``uncertainty``: mean and sample spread of the members, one pass over the rows."""
-    packed = rows.withColumn("_words", words(F.col(features), n_bits))
-    for i, m in enumerate(members):
-        packed = packed.withColumn(f"_p{i}", (m.value(F.col("_words")) + F.lit(m.base)).cast("double") / F.lit(float(SCALE)))
-    each = [F.col(f"_p{i}") for i in range(len(members))]
+    said = _once(words(F.col(features), n_bits), lambda packed: F.array(*[m.value(packed) + F.lit(m.base) for m in members]))
+    rows = rows.withColumn("_said", said)
+    each = [F.get("_said", F.lit(i)).cast("double") / F.lit(float(SCALE)) for i in range(len(members))]
     mean = sum(each, F.lit(0.0)) / F.lit(float(len(members)))
     spread = sum(((p - mean) * (p - mean) for p in each), F.lit(0.0)) / F.lit(float(max(1, len(members) - 1)))
-    return packed.withColumn("prediction", mean).withColumn("uncertainty", F.sqrt(spread)).drop("_words", *[f"_p{i}" for i in range(len(members))])
+    return rows.withColumn("prediction", mean).withColumn("uncertainty", F.sqrt(spread)).drop("_said")
