@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from assaylake import schemas
 from assaylake.plans import cycle as C
 from assaylake.plans import views as V
+from assaylake.plans.boosting_sql import model
 from assaylake.plans.catalog import query
 from assaylake.plans.q_aggregates import BIN_SQL, CYCLE_SQL, QUARTILE_SQL, quality_sql, rounded
 from assaylake.plans.q_sources import write_shards
@@ -107,10 +108,52 @@ def _(spark, sf):
     return _label_cycle(spark, sf)[2].select("batch_id", "mol_index", "delta_g", "status")
 
 
-@query("r3_learn_cycle")
-def _(spark, sf):
-    done = C.learn_cycle(T.gold(spark, sf), T.registry(spark, sf), V.unified(spark, sf), "proxy_2", "cycle2", 20_000, 80, 20, trees=3, depth=3)
-    return done.elite.drop("smiles")
+_LEARN_SQL = f"""
+    {model(3, 3, "CASE WHEN split = 'train' THEN 1 ELSE 0 END")},
+         learned AS (SELECT u.* REPLACE (coalesce(g.delta_g, m.p, u.final_score) AS final_score,
+                                         CASE WHEN g.delta_g IS NOT NULL THEN 'gromacs' WHEN m.p IS NOT NULL THEN 'xgboost' ELSE u.score_method END AS score_method)
+                     FROM unified u LEFT JOIN m_pred m USING (molecule_hash) LEFT JOIN gold g USING (molecule_hash))"""
+
+_ELITE_SQL = _LEARN_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + """,
+         pool AS (SELECT row_number() OVER (ORDER BY final_score NULLS LAST, molecule_hash) - 1 AS rank, molecule_hash, final_score, smiles
+                  FROM learned JOIN registry USING (molecule_hash) WHERE sa_score < 4.0 AND qed_score > 0.5
+                  ORDER BY rank LIMIT 20000),
+         fp AS (SELECT DISTINCT rank, CAST(('0x' || substr(md5(gram), 1, 8)) AS BIGINT) % 2147483648 AS bit
+                FROM (SELECT rank, unnest(list_transform(range(1, length(smiles) - 6), lambda i: substr(smiles, i, 8))) AS gram FROM pool)),
+         size AS (SELECT rank, count(*) AS size FROM fp GROUP BY 1),
+         link AS (SELECT a, b FROM (SELECT x.rank AS a, y.rank AS b, count(*) AS shared FROM fp x JOIN fp y ON x.bit = y.bit AND x.rank <> y.rank GROUP BY ALL)
+                  JOIN size sa ON sa.rank = a JOIN size sb ON sb.rank = b WHERE shared * 100 >= 65 * (sa.size + sb.size - shared)),
+         walk AS (
+             SELECT DISTINCT a AS id, CAST(NULL AS BIGINT) AS leader FROM link
+             UNION ALL
+             (WITH alive AS (SELECT id FROM walk WHERE leader IS NULL),
+                   degree AS (SELECT l.a AS id, count(*) AS d FROM link l JOIN alive x ON x.id = l.a JOIN alive y ON y.id = l.b GROUP BY 1),
+                   lead AS (SELECT x.id FROM alive x LEFT JOIN degree USING (id) ORDER BY coalesce(d, 0) DESC, x.id LIMIT 1)
+              SELECT x.id, CASE WHEN x.id = lead.id OR l.b IS NOT NULL THEN lead.id END
+              FROM alive x CROSS JOIN lead LEFT JOIN link l ON l.a = lead.id AND l.b = x.id)),
+         grouped AS (SELECT p.molecule_hash, p.final_score, p.rank, coalesce(w.leader, p.rank) AS lead
+                     FROM pool p LEFT JOIN (SELECT id, leader FROM walk WHERE leader IS NOT NULL) w ON w.id = p.rank),
+         named AS (SELECT g.molecule_hash, g.final_score, g.rank, p.molecule_hash AS cluster_id FROM grouped g JOIN pool p ON p.rank = g.lead),
+         chosen AS (SELECT * FROM named QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY rank) = 1 ORDER BY rank LIMIT 80),
+         drawn AS (SELECT * FROM named WHERE molecule_hash NOT IN (SELECT molecule_hash FROM chosen)
+                   QUALIFY row_number() OVER (ORDER BY md5('elite' || molecule_hash), molecule_hash) <= 20 + 80 - (SELECT count(*) FROM chosen)),
+         elite_rows AS (SELECT *, 'cluster_centroid' AS selection_strategy FROM chosen UNION ALL SELECT *, 'diversity_random' FROM drawn)"""
+
+
+def _learn(spark, sf):
+    return C.learn_cycle(T.gold(spark, sf), T.registry(spark, sf), V.unified(spark, sf), "proxy_2", "cycle2", 20_000, 80, 20, trees=3, depth=3)
+
+
+@query("r3_learn_cycle", _ELITE_SQL + """
+    SELECT *, CASE WHEN CAST(('0x' || substr(md5('split' || molecule_hash), 1, 8)) AS BIGINT) < CAST(0.9 * 4294967296 AS BIGINT) THEN 'train' ELSE 'valid' END AS split
+    FROM elite_rows""")
+def _(spark, sf):
+    return _learn(spark, sf).elite.drop("smiles")
+
+
+@query("r3_learned_scores", _LEARN_SQL + " SELECT molecule_hash, final_score, score_method, qed_score FROM learned")
+def _(spark, sf):
+    return _learn(spark, sf).screening.select("molecule_hash", "final_score", "score_method", "qed_score")
 
 
 _BINS = {"strong_pct": "final_score < -40", "medium_pct": "final_score BETWEEN -40 AND -30", "weak_pct": "final_score > -30",
