@@ -101,7 +101,7 @@ def _piece(before: int, to: int, action: str, inserted: int, text: str, last: bo
 def _runs(table: pa.Table) -> tuple[dict, list[tuple[int, int]]]:
     """Columns as lists, sorted by conversation and position, and the runs of rows of one block."""
     cols = {c: table.column(c).to_pylist() for c in table.column_names}
-    order = sorted(range(table.num_rows), key=lambda i: (cols["conv"][i] is not None, cols["conv"][i] or 0, cols["pos"][i]))
+    order = sorted(range(table.num_rows), key=lambda i: (cols["conv"][i] is not None, cols["conv"][i], cols["pos"][i]))
     cols = {c: [v[i] for i in order] for c, v in cols.items()}
     cuts = [i for i in range(table.num_rows) if not i or (cols["conv"][i], cols["block"][i]) != (cols["conv"][i - 1], cols["block"][i - 1])]
     return cols, list(zip(cuts, [*cuts[1:], table.num_rows], strict=True))
@@ -154,7 +154,7 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     ``rendered`` of a conversation's rows, joined in order, is the repaired conversation in ChatML;
     ``role`` is the turn that the row's text ends up in, ``inserted`` the empty turn put before it.
     Turns are ordered by number, then role and text, so ties and repeated rows have a defined place.
-    A null text is an empty one; a null or unknown role must be merged or relabelled; a null
+    A text's ``<|`` becomes ``< |``, so that no text opens or closes a turn. A null text is an empty one; a null or unknown role must be merged or relabelled; a null
     conversation is a conversation. Role names are compared in lower case. An empty table gives no rows.
     Rows meet in groups of about ``BLOCK``, whatever a conversation's length.
     """

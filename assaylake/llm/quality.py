@@ -120,6 +120,7 @@ def _views(batch: pa.RecordBatch) -> list[np.ndarray]:
 def fit(docs: DataFrame, labels: DataFrame) -> CoTrained | None:
     marked = labels.filter(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").cast("int").alias("label"))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1_000_000))
+    docs = docs.select("doc_id", "text", "source", "lang", "n_chars")  # other columns may have the names used here
     usable = docs.filter(F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 2))
     n_labelled, n = marked.count(), docs.count()
     if not n_labelled or not n:
@@ -156,7 +157,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, keep: list[Column]) -> Dat
     ``docs`` has doc_id, text, source, lang and n_chars, any of which may be null (an empty text, a
     source or language of its own, length 0). Documents of fold 2 are held out of all training. An id with
     several labels counts as the lowest; null labels do not count. Without labels of both kinds every
-    score is 0.5. Repeated rows score alike; an empty table gives no rows.
+    score is 0.5. Repeated rows score alike; an empty table gives no rows; other columns do not matter, whatever their names.
     """
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
     work = docs.select(F.struct(*keep).alias("row"), *[F.col(c).cast("string").alias(c) for c in ("text", "source", "lang")],

@@ -335,7 +335,7 @@ def test_toxicity(spark, docs):
     assert toxicity.drop_toxic(docs, l).columns == docs.columns and toxicity.drop_toxic(docs.limit(0), l).count() == 0
 
 
-def test_kneser_ney_sums_to_one():
+def test_kneser_ney_of_equal_classes_is_neutral():
     w = words.words_of(pa.array(["abc abd abc xyz", "abx xyq"]))
     key_, _ = toxicity.word_ngrams(w, np.arange(len(w.start)))
     keys, n = np.unique(key_, return_counts=True)
@@ -353,6 +353,50 @@ def test_quality(spark, docs):
     assert len(quality.quality_report(docs, l).collect()) == len(DOCS)
     assert {r.score for r in quality.quality_report(d, l.limit(0)).collect()} == {0.5}
     assert quality.quality_report(docs.limit(0), l).count() == 0
+    clash = d.withColumns({"label": F.lit("x"), "check": F.lit(1), "quality": F.lit(None).cast("int"), "row": F.lit(2)})
+    assert key(quality.quality_report(clash, l).collect()) == key(got)
+
+
+def test_chats_with_text_ids(spark):
+    turns = spark.createDataFrame([("", 0, "user", "a"), ("b", 0, "user", "<|x"), (None, 0, "user", None)], "conv_id string, turn int, role string, text string")
+    got = {r.conv: r.rendered for r in chat.format_chats(turns.coalesce(1)).collect()}
+    assert set(got) == {"", "b", None} and "< |x" in got["b"] and "<|x" not in got["b"]
+
+
+def counted_kneser_ney(grams, order, discount, sizes):
+    """P(last | context) of each n-gram in both classes, from dictionaries of tuples; counts of shorter n-grams are shared."""
+    kinds = {order: set(grams)}
+    for k in range(order - 1, 0, -1):
+        kinds[k] = {g[1:] for g in kinds[k + 1]}
+    cont = {k: {g: sum(h[1:] == g for h in kinds[k + 1]) for g in kinds[k]} for k in range(1, order)}
+
+    def mixed(table, d, g, lower):
+        total = sum(n for h, n in table.items() if h[:-1] == g[:-1])
+        kind = sum(n > 0 for h, n in table.items() if h[:-1] == g[:-1])
+        return max(table.get(g, 0) - d, 0) / total + d * kind / total * lower if total else lower
+
+    def below(g):
+        if not g:
+            return 1 / 64
+        table = cont[len(g)]
+        return mixed(table, discount(*(sum(n == i for n in table.values()) for i in (1, 2))), g, below(g[1:]))
+
+    return [{g: mixed({h: n[c] for h, n in grams.items()}, sizes[c], g, below(g[1:])) for g in grams} for c in (0, 1)]
+
+
+def test_kneser_ney_equals_counting():
+    texts = ["bad worse badly vile bad", "good bad better best goods gold"]
+    grams = {}
+    for c, text in enumerate(texts):
+        w = words.words_of(pa.array([text]))
+        for packed in toxicity.word_ngrams(w, np.arange(len(w.start)))[0].tolist():
+            g = tuple(packed >> 6 * j & 63 for j in range(toxicity.ORDER - 1, -1, -1))
+            grams.setdefault(g, [0, 0])[c] += 1
+    keys = sorted((sum(s << 6 * (toxicity.ORDER - 1 - j) for j, s in enumerate(g)), g) for g in grams)
+    counts = np.array([grams[g] for _, g in keys], dtype=float)
+    model = toxicity.kneser_ney(np.array([k for k, _ in keys], dtype=np.int64), counts[:, 0], counts[:, 1], (0.4, 0.6))
+    want = counted_kneser_ney(grams, toxicity.ORDER, toxicity._discount, (0.4, 0.6))
+    assert np.allclose(model.ratio, [np.log(want[0][g]) - np.log(want[1][g]) for _, g in keys])
 
 
 def chat_cost(roles):
