@@ -100,3 +100,19 @@ def test_rows_without_label_or_set(spark):
     model = B.grow(odd.union(spark.createDataFrame([(4, [], 2.0, 1), (5, [0], 4.0, 1), (6, [0], 4.0, 1)], odd.schema)), N_BITS, 1, 2, 1.0)
     got = {r["id"]: r["prediction"] for r in model.predict(odd, N_BITS).collect()}
     assert got == {1: 2.0, 2: None, 3: 2.0}
+
+
+def test_a_batch_is_summed_before_the_shuffle():
+    import pyarrow as pa
+
+    rows = [(n, w, w * 10**15, [1, 5, 5, 900_000_000 * wide]) for wide in (0, 2) for n, w in ((2, 1), (3, 4)) for _ in range(300)] + [(2, 1, 1, None), (3, 1, 1, [])]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows]),
+                                        pa.array([r[3] for r in rows], pa.list_(pa.int32()))], ["node", "w", "wr", "bits"])
+    want = {}
+    for node, w, wr, bits in rows:
+        for bit in [] if bits is None else [-1, *bits]:
+            n, s = want.get((node, bit), (0, 0))
+            want[node, bit] = (n + w, s + wr)
+    (got,) = B.bit_sums([batch])
+    assert got.num_rows == len(want)
+    assert {(r["node"], r["bit"]): (r["n1"], r["s1"]) for r in got.to_pylist()} == want

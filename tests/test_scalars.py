@@ -95,6 +95,22 @@ def test_grams_cover_whole_text(spark):
     assert got[1] == [] and got[2] == []
 
 
+def test_fingerprint_hashes_a_gram_of_a_block_once(spark, monkeypatch):
+    import hashlib
+
+    import pyarrow as pa
+
+    texts = ["ab\ncdéfg" * 3, "x😀yz日本" * 2, "abc" * 30, "ab", "", None]
+    bits = lambda t, n, k: None if t is None else sorted({int(hashlib.md5(t[i:i + k].encode()).hexdigest()[:8], 16) % n for i in range(len(t) - k + 1)})
+    for n, k in ((1 << 31, 8), (2048, 3)):
+        assert apply(spark, lambda c, n=n, k=k: FP.fingerprint(c, n, k), texts) == [bits(t, n, k) for t in texts]
+    hashed = []
+    monkeypatch.setattr(FP, "md5", lambda g, **kw: hashed.append(g) or hashlib.md5(g, **kw))
+    many = [chr(97 + i % 26) * 4 + str(i) for i in range(500)]  # letters enough for grams to need more than one number
+    assert FP.text_bits(pa.array(many * 20), 1 << 31, 3).to_pylist() == [bits(t, 1 << 31, 3) for t in many] * 20
+    assert len(hashed) == len(set(hashed)) == len({t[i:i + 3] for t in many for i in range(len(t) - 2)})
+
+
 def test_tanimoto_of_empty_sets(spark):
     df = spark.createDataFrame([([], []), ([1, 2, 3], [2, 3, 4])], "a array<int>, b array<int>")
     assert [r[0] for r in df.select(FP.tanimoto(F.col("a"), F.col("b"))).collect()] == [0.0, 0.5]
