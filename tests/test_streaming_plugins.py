@@ -92,3 +92,14 @@ def test_ensemble_spread_is_finite(learned):
     data, _ = learned
     got = X.ensemble_uncertainty(data, data, members=2, trees=2, depth=2).agg(F.count("uncertainty"), F.min("uncertainty")).first()
     assert got[0] == 400 and got[1] >= 0
+
+
+def test_state_of_a_stream_lies_on_disk(spark, tmp_path):
+    path = str(tmp_path)
+    spark.range(50).select((F.col("id") % 7).alias("k")).repartition(2).write.parquet(path + "/in")
+    counts = S.stream_scores(spark, path + "/in", spark.read.parquet(path + "/in").schema, max_files=1).groupBy("k").count()
+    before = {key: spark.conf.get(key, None) for key in S.STATE}
+    query = S.run_to_end(counts, path + "/out", "update", each_batch=S.append_batches(path + "/out"))
+    assert "rocksdbBytesCopied" in str(query.lastProgress["stateOperators"])
+    assert {key: spark.conf.get(key, None) for key in S.STATE} == before
+    assert sum(r["count"] for r in S.read_latest(spark, path + "/out", "k").collect()) == 50
