@@ -8,12 +8,19 @@ from assaylake import schemas
 from assaylake.functions import scalars as S
 from assaylake.plans.catalog import query
 from assaylake.plans.views import selected
-from assaylake.session import scratch_path
+from assaylake.session import scratch_path, small_side
 from assaylake.sources import readers as R
 from assaylake.sources import tables as T
 from assaylake.sources import writers as W
 
 LINES_PER_SHARD = 1000
+ROWS_PER_FILE = 100_000
+COMMIT_BY_TASK = ("mapreduce.fileoutputcommitter.algorithm.version", "2")  # tasks move their files; the driver would move them one by one
+
+
+def _writers(spark) -> int:
+    """Tasks that write many small files: a small table would be one task, which makes all the files one after the other."""
+    return max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def write_shards(spark, sf, stray: str = "") -> str:
@@ -127,10 +134,13 @@ def _(spark, sf):
         F.when(lost, "NaN").otherwise((F.lit(0.0) - F.col("l_quantity")).cast("string")).alias("DeltaG"),
         F.when(lost, "Failed_Analysis").when(F.col("l_linestatus") == "F", "Success").alias("Status"),
         F.concat(F.lit("batch_"), F.col("l_suppkey").cast("string"), F.lit("_results")).alias("task"))
-    # a few files per batch, also for a batch with very many rows
-    spread = F.pmod(F.xxhash64("SMILES", "DeltaG"), F.lit(4))
-    rows.repartition("task", spread).write.partitionBy("task").option("header", "true").csv(path)
-    return R.read_keyed_results(spark, f"{path}/task=*/*")
+    # one file per batch, more for a batch with very many rows; the folder is read as a whole: a glob is listed in the driver
+    n_files = small_side(rows.groupBy("task").agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_FILE).alias("n_files")))
+    part = F.pmod(F.xxhash64("SMILES", "DeltaG"), F.col("n_files"))
+    sized = rows.join(n_files.withColumnRenamed("task", "t"), F.col("task").eqNullSafe(F.col("t"))).withColumn("part", part)
+    sized.repartition(_writers(spark), "task", "part").drop("t", "n_files", "part").write.partitionBy("task") \
+        .option(*COMMIT_BY_TASK).option("header", "true").csv(path)
+    return R.read_keyed_results(spark, path)
 
 
 @query("s6_read_result_json", """
@@ -141,9 +151,10 @@ def _(spark, sf):
     T.table(spark, sf, "supplier").select(
         F.col("s_name").alias("smiles"), (F.lit(0.0) - F.col("s_acctbal")).alias("delta_g"),
         (F.col("s_nationkey").cast("double") / 10.0).alias("uncertainty"),
-        F.concat(F.lit("mol_"), F.col("s_suppkey").cast("string")).alias("task")).write.partitionBy("task").json(path)
-    rows = R.read_result_json(spark, f"{path}/task=mol_*/*")
-    return rows.withColumn("folder", F.regexp_extract("trajectory_uri", r"(mol_[^/]+/run/)$", 1)).drop("trajectory_uri")
+        F.concat(F.lit("mol_"), F.col("s_suppkey").cast("string")).alias("task")).repartition(_writers(spark), "task").write.partitionBy("task").option(*COMMIT_BY_TASK).json(path)
+    rows = R.read_result_json(spark, path)
+    rows = rows.withColumn("folder", F.regexp_extract("trajectory_uri", r"(mol_[^/]+/run/)$", 1)).drop("trajectory_uri")
+    return rows.filter("folder <> ''")  # a supplier without a key has no folder of its own
 
 
 _TIERED = """

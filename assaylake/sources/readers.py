@@ -81,9 +81,15 @@ def _present(spark: SparkSession, globs: str | Sequence[str]) -> list[str]:
     return out
 
 
-def _filled_lines(spark: SparkSession, globs: Sequence[str]) -> DataFrame:
-    """(path, start, id, line) of the lines that are not blank; a file that cannot be read gives none."""
-    lines = spark.read.option("ignoreCorruptFiles", "true").text(list(globs)).select(
+def _filled_lines(spark: SparkSession, globs: Sequence[str]) -> DataFrame | None:
+    """(path, start, id, line) of the lines that are not blank; a file that cannot be read gives none. None if a glob matches no file."""
+    try:
+        files = spark.read.option("ignoreCorruptFiles", "true").text(list(globs))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    lines = files.select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("id"), F.col("value").alias("line"))
     return lines.filter(F.trim("line") != "")
@@ -105,8 +111,9 @@ def read_score_shards(spark: SparkSession, path_globs: str | list[str], schema:
     first one: that saves the pass over the first lines, and a file with another header or one that
     cannot be read is an error. ``path_col`` names a column for the path of a row's file.
     """
-    globs = _present(spark, path_globs)
-    if not globs:
+    globs = [path_globs] if isinstance(path_globs, str) and mixed_headers else _present(spark, path_globs)
+    lines = _filled_lines(spark, globs) if mixed_headers and globs else None
+    if not globs or (mixed_headers and lines is None):
         return spark.createDataFrame([], T.StructType([*schema.fields, *([T.StructField(path_col, T.StringType())] if path_col else [])]))
     if not mixed_headers:
         out = None
@@ -114,7 +121,6 @@ def read_score_shards(spark: SparkSession, path_globs: str | list[str], schema:
             part = _one_header(spark, glob, schema, path_col)
             out = part if out is None else out.unionByName(part)
         return out
-    lines = _filled_lines(spark, globs)
     tops = small_side(_first_lines(lines))
     width = tops.agg(F.max(F.size(F.split("header", ",")))).first()[0] or 1
     places = [f"c{i}" for i in range(width)]

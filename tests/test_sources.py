@@ -169,3 +169,27 @@ def test_keyed_results_by_column_name(spark, tmp_path):
 def test_molecules_of_a_csv_have_line_numbers(spark, tmp_path):
     (tmp_path / "m.csv").write_text('id,smiles\n1,"C,C"\n2,\n3,CO\n')
     assert rows(R.read_molecules(spark, f"{tmp_path}/m.csv"), "row_no", "smiles") == [(1, "C,C"), (3, "CO")]
+
+
+def test_small_result_files_are_written_by_all_cores(spark, tmp_path):
+    """A table of one split and a folder a row: the files come from many tasks, one file a batch."""
+    import glob
+
+    from assaylake.plans import catalog
+    from assaylake.plans import q_sources as Q
+    from assaylake.session import scratch_root
+
+    catalog.load()
+    sf = str(tmp_path / "t")
+    spark.range(40).selectExpr("nullif(id, 39) AS l_suppkey", "CAST(id % 7 AS INT) AS l_linenumber", "CAST(id AS DOUBLE) AS l_quantity",
+                               "'N' AS l_returnflag", "'F' AS l_linestatus").withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(5)))).coalesce(1).write.parquet(f"{sf}/lineitem.parquet")
+    spark.range(41).selectExpr("nullif(id, 40) AS s_suppkey", "concat('s', id) AS s_name", "CAST(id AS DOUBLE) AS s_acctbal", "id % 3 AS s_nationkey").coalesce(1).write.parquet(f"{sf}/supplier.parquet")
+    old = set(glob.glob(f"{scratch_root(spark)}/*"))
+    assert catalog.QUERIES["s5_read_keyed_results"](spark, sf).count() == 200
+    assert catalog.QUERIES["s6_read_result_json"](spark, sf).select("folder").distinct().count() == 40
+    for name, kind in (("results-", "csv"), ("validated-", "json")):
+        (root,) = [d for d in set(glob.glob(f"{scratch_root(spark)}/*")) - old if d.rpartition("/")[2].startswith(name)]
+        files = glob.glob(f"{root}/task=*/part-*.{kind}")
+        assert len(files) == 40 + (kind == "json")
+        assert len({f.rpartition("/part-")[2][:5] for f in files}) > 4
+    assert Q.ROWS_PER_FILE > 5
