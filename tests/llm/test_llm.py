@@ -526,3 +526,36 @@ def test_pipeline(spark):
         assert out.columns == columns
     mixed_ = corpus_pipeline.run(spark, SF).collect()
     assert 0 < len(mixed_) < docs.count() and len({r.doc_id for r in mixed_}) == len(mixed_)
+
+
+def test_rare_ngrams_stay_in_the_toxicity_model(spark):
+    rows = [("ka lo " * 400_000, 0), ("ka mi zo " * 270_000 + "zorgan", 1), ("good", 2), ("vile", 3)]
+    counted = {}
+    for text, part in rows:
+        w = words.words_of(pa.array([text]))
+        for k, n in zip(*np.unique(toxicity.word_ngrams(w, np.arange(len(w.start)))[0], return_counts=True), strict=True):
+            counted.setdefault(int(k), [0, 0, 0, 0])[part] += int(n)
+    asked = ["zorgan", "zorgené", "zzz", "12", "ka", "lo", "mi", "zo", "good", "vile"]
+    key_, per = toxicity.word_ngrams(words.words_of(pa.array([" ".join(asked)])), np.arange(len(asked)))
+    texts = spark.createDataFrame([(a, a) for a in asked], "id string, text string")
+    for keep in (100, 5, 0):
+        found = toxicity.learn_words(spark.createDataFrame(rows, "text string, part int"), keep)
+        assert found.every == (keep == 100)
+        for m, cols in enumerate([((1,), (0,)), ((1, 3), (0, 2))]):
+            keys = sorted(k for k, n in counted.items() if any(n[c] for side in cols for c in side))
+            counts = [np.array([sum(counted[k][c] for c in side) for k in keys], dtype=float) for side in cols]
+            once = [toxicity._discount(float((n == 1).sum()), float((n == 2).sum())) for n in counts]
+            value = toxicity.kneser_ney(np.array(keys, dtype=np.int64), *counts, tuple(once)).values(key_)[1]
+            want = np.bincount(np.repeat(np.arange(len(per)), per), value)
+            got = {r.id: r["mean"] for r in found.measure(texts, "text", m).collect()}
+            assert np.allclose([got[a] for a in asked], want, atol=1e-9)
+        assert got["zorgan"] > 5  # seen once among 2.4 million n-grams
+
+
+def test_toxicity_does_not_depend_on_what_a_task_holds(spark):
+    texts = [f"{'bad' if i % 5 == 0 else 'good'}{i % 7} day{i} {'vile ' * (i % 5 == 0)}night" for i in range(200)] + ["", None]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    l = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(200)], "doc_id bigint, toxic int")
+    got = [dict(toxicity.score_toxicity(d, l, [F.col("doc_id")], common_ngrams=n).select("row.doc_id", "score").collect()) for n in (10**6, 30, 0)]
+    assert all(g.keys() == got[0].keys() and np.allclose(list(g[k] for k in got[0]), list(got[0].values()), rtol=0, atol=1e-9) for g in got)
+    assert got[0][201] == got[0][200] and len(set(got[0].values())) > 2
