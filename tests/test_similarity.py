@@ -164,3 +164,37 @@ def test_true_maximum_below_every_step(spark):
     new = spark.createDataFrame([(1, [1, 2, 3]), (2, list(range(10, 30))), (3, [99])], "id int, fp array<int>")
     old = spark.createDataFrame([(7, [1, 2, 3, 4]), (8, list(range(29, 60)))], "id int, fp array<int>")
     assert rows(Z.max_similarity(new, old, 0.0, "id"), "id", "max_sim") == [(1, 0.75), (2, 1 / 50), (3, 0.0)]
+
+
+def test_sets_of_a_join_are_not_written_whole(spark, tmp_path, monkeypatch):
+    """Of texts without partners only hashes and prefixes leave their place, and shuffle files go with the step."""
+    from assaylake import session
+    from assaylake.functions.fingerprints import fingerprint
+
+    monkeypatch.setattr(session, "scratch_root", lambda s: str(tmp_path))
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcdefghijklmnop") for _ in range(2_000)) for _ in range(60)]
+    texts += [texts[0][:1_900], texts[0]]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string").select("id", fingerprint(F.col("text")).alias("fp"))
+    got = Z.similarity_join(df, None, 0.65, "id")
+    assert rows(got, "rep_a", "rep_b", "copies_a", "copies_b") == [(0, 60, 2, 1)]
+    assert sum(f.stat().st_size for f in tmp_path.rglob("*.parquet")) < len(texts) * 2_000
+
+
+@pytest.mark.parametrize("cell", [2, 1 << 10])
+def test_pairs_of_a_cluster_over_cells_equal_brute_force(spark, monkeypatch, cell):
+    for name, value in (("CELL", cell), ("PAIRS", 50), ("PART_BITS", 20)):
+        monkeypatch.setattr(Z, name, value)
+    sets = random_sets(33, n=30)
+    got = Z.similarity_join(as_df(spark, sets), None, 0.4, "id")
+    reps = {tuple(s): i for i, s in reversed(list(enumerate(sets))) if s}
+    want = sorted((i, j) for a, i in reps.items() for b, j in reps.items() if i < j and similar(a, b, 0.4))
+    assert sorted(rows(got, "rep_a", "rep_b")) == want
+
+
+def test_two_sided_join_with_null_and_repeated_ids(spark):
+    a = spark.createDataFrame([(None, [1, 2, 3]), (4, [7, 8, 9]), (4, [1, 2])], "id bigint, fp array<int>")
+    b = spark.createDataFrame([(None, [1, 2, 3]), (5, [7, 8, 9, 10])], "id bigint, fp array<int>")
+    got = Z.similarity_join(a, b, 0.6, "id")
+    assert sorted(map(str, rows(got, "rep_a", "rep_b", "copies_a", "copies_b"))) == sorted(
+        map(str, [(None, None, 1, 1), (4, 5, 1, 1), (4, None, 1, 1)]))
