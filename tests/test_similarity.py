@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -198,3 +199,29 @@ def test_two_sided_join_with_null_and_repeated_ids(spark):
     got = Z.similarity_join(a, b, 0.6, "id")
     assert sorted(map(str, rows(got, "rep_a", "rep_b", "copies_a", "copies_b"))) == sorted(
         map(str, [(None, None, 1, 1), (4, 5, 1, 1), (4, None, 1, 1)]))
+
+
+def test_sets_are_computed_of_chosen_rows_only(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def bits(texts: pa.Array) -> pa.Array:
+        seen.add(len(texts))
+        return pa.array([[ord(c) for c in sorted(set(t))] for t in texts.to_pylist()], pa.list_(pa.int32()))
+
+    bits.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    df = spark.createDataFrame([(i, f"{chr(48 + i)}ab") for i in range(40)], "id bigint, text string").repartition(3)
+    sets = Z.distinct_sets(df, "id", F.arrow_udf(bits, "array<int>")("text"))
+    before = seen.value
+    wanted = sets.members.filter("id < 2").select("set_id")
+    assert sorted(rows(Z._asked_sets(sets, wanted, "sets"), "fp")) == [([48, 97, 98],), ([49, 97, 98],)]
+    assert (before, seen.value) == (40, 42)
+
+
+def test_best_partners_of_a_tile_are_joined_in_the_task():
+    blob = lambda sets: [b"".join(bytes([n]) * 16 for n, _ in sets), np.array([len(s) for _, s in sets], np.int32).tobytes(),
+                         np.concatenate([np.array(s, np.int32) for _, s in sets]).tobytes()]
+    a, tiles = blob([(1, [1, 2, 3]), (2, [7])]), [blob([(3, [1, 2, 9])]), blob([(4, [1, 2, 3, 4]), (5, [8])]), blob([(6, [7, 8])])]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*[a + b for b in tiles], strict=True)],
+                                       ["set_ids", "sizes", "bits", "set_ids_b", "sizes_b", "bits_b"])
+    got = pa.Table.from_batches(list(Z._best_of_tiles(iter([batch]), Z._ratio(0.0)))).to_pylist()
+    assert sorted((r["set_id"][0], r["max_sim"]) for r in got) == [(1, 0.75), (2, 0.5)]
