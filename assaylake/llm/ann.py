@@ -29,6 +29,7 @@ COPIES, COPY_RATIO = 6, 1.05  # lists of a boundary vector, and how much farther
 FIT_QUERIES = 200  # queries, in the mean, that the ratio is fitted on
 FIT_RECALL = 0.97  # share of their true nearest whose lists the ratio has to take in
 WALK_RECALL = 0.99  # share of the lists within the ratio that the walk has to find for them; else all centroids are compared
+NEAR = 3  # lists of a query that are searched first; the others give only what may beat what these have
 TILE = 1_024  # vectors, and queries, of a list that meet in one task
 
 
@@ -157,19 +158,23 @@ def _assign(batches: Iterator[pa.RecordBatch], centroids: Centroids, ratio: floa
 
 
 def _probe(batches: Iterator[pa.RecordBatch], centroids: Centroids, ratio: float, own: np.ndarray, least: int, scale: float) -> Iterator[pa.RecordBatch]:
-    """(vh, v, list) for the lists that a query searches."""
+    """(vh, v, list, near) for the lists that a query searches; ``near`` marks its ``NEAR`` nearest."""
     for batch in batches:
         for start in range(0, batch.num_rows, 512):
             b = batch.slice(start, 512)
             row, lists = centroids.probes(_augment_queries(_matrix(b.column("v")) / scale, centroids.top), ratio, own, least)
+            new = np.flatnonzero(np.append(True, row[1:] != row[:-1]))  # a query's lists stand together, nearest first
+            near = np.arange(len(row)) - np.repeat(new, np.diff(np.append(new, len(row)))) < NEAR
             for a in range(0, len(row), 10_000):
                 at = pa.array(row[a:a + 10_000])
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("vh").take(at), b.column("v").take(at), pa.array(lists[a:a + 10_000].astype(np.int64))], ["vh", "v", "list"])
+                    [b.column("vh").take(at), b.column("v").take(at), pa.array(lists[a:a + 10_000].astype(np.int64)), pa.array(near[a:a + 10_000])],
+                    ["vh", "v", "list", "near"])
 
 
 def _tile_search(queries: pa.Table, vectors: pa.Table, k: int) -> pa.Table:
-    """The best k vectors of a tile for each of its queries; scores are exact and do not depend on the tile."""
+    """The best k vectors of a tile for each of its queries, those that reach its ``bound`` if it has one; scores are exact and
+    do not depend on the tile."""
     q, v = _matrix(queries.column("v").combine_chunks()), _matrix(vectors.column("v").combine_chunks())
     qh, vh = np.asarray(queries.column("vh")), np.asarray(vectors.column("vh"))
     if not len(q) or not len(v):
@@ -177,6 +182,8 @@ def _tile_search(queries: pa.Table, vectors: pa.Table, k: int) -> pa.Table:
     rough = q @ v.T
     keep = min(len(v), k)
     worst = -np.partition(-rough, keep - 1, axis=1)[:, keep - 1]
+    bound = queries.column("bound").to_numpy()  # NaN for none
+    worst = np.fmax(worst, np.where(np.isfinite(bound), bound, np.nan))
     worst = np.where(np.isfinite(worst), worst - 1e-9 * (1 + np.abs(worst)), worst)
     row, col = np.nonzero(rough >= worst[:, None])  # and all that may tie
     return pa.table({"qh": qh[row], "vh": vh[col], "score": (q[row] * v[col]).sum(axis=1)})
@@ -275,24 +282,34 @@ def search(embeddings: DataFrame, queries: DataFrame, k: int = 20, id_col: str =
     for r in postings.filter("own").groupBy("list").count().collect():
         own[r["list"]] = r["count"]
     met = spark.sparkContext.broadcast(own)
-    probes = asked.mapInArrow(lambda it: _probe(it, shared.value, ratio, met.value, k + 1, scale), schema)
+    probes = asked.mapInArrow(lambda it: _probe(it, shared.value, ratio, met.value, k + 1, scale), f"{schema}, near boolean")
     probes = materialize(probes, "probes")
 
     def tiles(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias(name))
 
-    sizes = materialize(tiles(postings, "vt").join(tiles(probes, "qt"), "list"), "sizes")
     home = lambda n: F.pmod(F.xxhash64("vh"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = probes.join(sizes, "list").select("list", "vh", "v", each("vt").alias("vtile"), home("qt").alias("qtile"))
-    right = postings.join(sizes, "list").select("list", "vh", "v", home("vt").alias("vtile"), each("qt").alias("qtile"))
     keys = ["list", "vtile", "qtile"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
-        lambda a, b: _tile_search(a, b, k + 1), "qh bigint, vh bigint, score double")
-    # a vector in several lists has the same score in each
-    found = found.groupBy("qh", "vh").agg(F.max("score").alias("score"))
-    # the k + 1 best and all that tie with the last of them
-    best = found.withColumn("_r", F.rank().over(Window.partitionBy("qh").orderBy(F.desc("score")))).filter(F.col("_r") <= k + 1)
+
+    def searched(some: DataFrame) -> DataFrame:
+        """(qh, vh, score) of the lists of ``some`` probes with a bound; a vector in several lists has the same score in each."""
+        sizes = materialize(tiles(postings, "vt").join(tiles(some, "qt"), "list"), "sizes")
+        left = some.join(sizes, "list").select("list", "vh", "v", "bound", each("vt").alias("vtile"), home("qt").alias("qtile"))
+        right = postings.join(sizes, "list").select("list", "vh", "v", home("vt").alias("vtile"), each("qt").alias("qtile"))
+        found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
+            lambda a, b: _tile_search(a, b, k + 1), "qh bigint, vh bigint, score double")
+        return found.groupBy("qh", "vh").agg(F.max("score").alias("score"))
+
+    def best_of(found: DataFrame) -> DataFrame:
+        """The k + 1 best and all that tie with the last of them."""
+        return found.withColumn("_r", F.rank().over(Window.partitionBy("qh").orderBy(F.desc("score")))).filter(F.col("_r") <= k + 1)
+
+    first = materialize(best_of(searched(probes.filter("near").withColumn("bound", F.lit(None).cast("double")))).drop("_r"), "first")
+    # the last of k + 1 found so far: nothing below it is an answer, so rows of farther lists do not grow with their number
+    bounds = first.groupBy(F.col("qh").alias("vh")).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("bound")).filter(F.col("n") > k).drop("n")
+    rest = searched(probes.filter("not near").join(bounds, "vh", "left"))
+    best = best_of(first.unionByName(rest).groupBy("qh", "vh").agg(F.max("score").alias("score")))
     answers = best.join(ids, "vh").select("qh", "id", "score")
     answers = answers.withColumn("_r", F.row_number().over(Window.partitionBy("qh").orderBy(F.desc("score"), "id"))).filter(F.col("_r") <= k + 1)
     rows = query_ids.select(F.col("id").alias("query_id"), F.col("vh").alias("qh")).join(answers.drop("_r"), "qh").filter(F.col("id") != F.col("query_id"))

@@ -559,3 +559,19 @@ def test_toxicity_does_not_depend_on_what_a_task_holds(spark):
     got = [dict(toxicity.score_toxicity(d, l, [F.col("doc_id")], common_ngrams=n).select("row.doc_id", "score").collect()) for n in (10**6, 30, 0)]
     assert all(g.keys() == got[0].keys() and np.allclose(list(g[k] for k in got[0]), list(got[0].values()), rtol=0, atol=1e-9) for g in got)
     assert got[0][201] == got[0][200] and len(set(got[0].values())) > 2
+
+
+def test_farther_lists_give_only_what_may_beat_the_nearer():
+    rng = np.random.default_rng(5)
+    q, v = rng.normal(size=(7, 6)), rng.normal(size=(300, 6))
+    vectors = pa.table({"vh": np.arange(300), "v": pa.array(v.tolist())})
+
+    def answers(bound):
+        queries = pa.table({"vh": np.arange(7), "v": pa.array(q.tolist()), "bound": pa.array(bound, pa.float64())})
+        return {(r["qh"], r["vh"]) for r in ann._tile_search(queries, vectors, 21).to_pylist()}
+
+    score = q @ v.T
+    best = np.sort(score, axis=1)[:, ::-1]
+    assert len(answers([None] * 7)) == 7 * 21
+    assert answers([*best[:6, 3], None]) == {(i, int(j)) for i in range(7) for j in np.argsort(-score[i])[:4 if i < 6 else 21]}
+    assert not answers((best[:, 0] + 1).tolist())
