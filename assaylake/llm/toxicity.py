@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaylake.llm.words import Words, blocks, words_of
-from assaylake.session import materialize, scratch_path, small_side
+from assaylake.session import PACKED, materialize, scratch_path, shuffles_dropped, small_side
 
 ORDER = 10  # characters of an n-gram, six bits each, packed into one 64-bit integer
 LOW = 3  # n-grams of this order and below are one table, of 64^3 rows at most; longer ones are dealt by as many last letters of the context
@@ -413,7 +413,8 @@ def learn_words(rows: DataFrame, common_ngrams: int = COMMON_NGRAMS) -> Evidence
     found = found.repartition(tasks, "part").groupBy("part", "key").agg(*[F.sum(c).alias(c) for c in COUNTS])
     path = scratch_path(spark, "ngrams")
     name = path.rsplit("/", 1)[1].replace("-", "_")
-    found.write.bucketBy(tasks, "part").option("path", path).saveAsTable(name)
+    with shuffles_dropped(spark):
+        found.write.bucketBy(tasks, "part").option("compression", PACKED).option("path", path).saveAsTable(name)
     counts = spark.table(name)
     fitted = _fit(counts)
     if fitted[0] is None:
