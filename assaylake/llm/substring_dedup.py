@@ -217,7 +217,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     both = later.select("key", "id", "unit", F.lit(None).cast("int").alias("run")).unionByName(
         later_runs.select("key", "id", F.lit(None).cast("int").alias("unit"), F.col("unit").alias("run")))
     repeated = materialize(both.groupBy(*of).agg(F.collect_set("unit").alias("repeated"), F.collect_set("run").alias("runs")), "repeated")
-    marked = keyed.join(repeated, own, "left").select("row", "text", "repeated", "runs")
+    # the text is in the row: beside it, it would lie in the shuffle twice
+    marked = keyed.drop("text").join(repeated, own, "left").select("row", F.col("row")[text_col].cast("string").alias("text"), "repeated", "runs")
     schema = T.StructType([marked.schema["row"], T.StructField("text", T.StringType()), T.StructField("removed", SPANS)])
     return marked.mapInArrow(lambda it: _apply(it, min_words), schema)
 

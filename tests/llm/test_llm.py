@@ -575,3 +575,9 @@ def test_farther_lists_give_only_what_may_beat_the_nearer():
     assert len(answers([None] * 7)) == 7 * 21
     assert answers([*best[:6, 3], None]) == {(i, int(j)) for i in range(7) for j in np.argsort(-score[i])[:4 if i < 6 else 21]}
     assert not answers((best[:, 0] + 1).tolist())
+
+
+def test_texts_are_shuffled_once_where_spans_are_cut(docs):
+    plan = substring_dedup.remove_repeats(docs)._jdf.queryExecution().optimizedPlan().toString()
+    made = [x for x in plan.splitlines() if " AS row#" in x]
+    assert made and not any(re.search(r"text#\d+\]", x) for x in made)
