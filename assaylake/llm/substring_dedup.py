@@ -202,6 +202,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return materialize(df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).filter("n > 1"), name)
 
     later = lines.join(firsts(lines, ["digest"], "firsts"), "digest").filter(~(same & (F.col("unit") == F.col("first.unit"))))
+    later = materialize(later.select("key", "id", "unit"), "later")  # else its shuffle lies beside that of the runs
     of = [F.col("key").alias("_key"), F.col("id").alias("_id")]
     own = (F.col("key") == F.col("_key")) & F.col("id").eqNullSafe(F.col("_id"))
     prints = materialize(keyed.select("id", "key", "text").mapInArrow(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from assaylake.llm import ann, chat, components, decontamination, html_extraction, licenses, mixing, near_dedup, quality, queries, substring_dedup, toxicity, words
+from assaylake.session import materialize
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -581,3 +582,15 @@ def test_texts_are_shuffled_once_where_spans_are_cut(docs):
     plan = substring_dedup.remove_repeats(docs)._jdf.queryExecution().optimizedPlan().toString()
     made = [x for x in plan.splitlines() if " AS row#" in x]
     assert made and not any(re.search(r"text#\d+\]", x) for x in made)
+
+
+def test_lines_and_runs_are_joined_in_steps_of_their_own(docs, monkeypatch):
+    joins = {}
+
+    def recorded(df, name="stage"):
+        joins[name] = df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+        return materialize(df, name)
+
+    monkeypatch.setattr(substring_dedup, "materialize", recorded)
+    substring_dedup.remove_repeats(docs)
+    assert joins["later"] == joins["repeated"] == 1
