@@ -130,3 +130,19 @@ def test_missing_score_is_no_hit_and_no_neighbour_is_novel(spark):
 
 def test_prompt_fills_every_slot(spark):
     assert apply(spark, lambda c: S.build_prompt(c, "a {smiles} b {smiles}"), ["X%s"]) == ["a X%s b X%s"]
+
+
+def test_grams_of_any_alphabet_are_hashed_by_blocks(monkeypatch):
+    """No call a gram, and a gram met before is looked up: hashes stay those of md5."""
+    import hashlib
+
+    import pyarrow as pa
+
+    texts = ["plain ascii text, twice: plain ascii text", "äöüßéèêñ and then ascii", "中文字符測試一二三四", "😀" * 9 + "mixed é中😀 end", "\0" * 9, "abcdefg"]
+    want = [sorted({int(hashlib.md5(t[i:i + 8].encode()).hexdigest()[:8], 16) % (1 << 31) for i in range(len(t) - 7)}) for t in texts]
+    monkeypatch.setattr(FP, "md5", None)
+    for known in (20, 1):  # so few places that grams push each other out
+        monkeypatch.setattr(FP, "_KNOWN_BITS", known)
+        FP._known.clear()
+        assert [FP.text_bits(pa.array(texts), 1 << 31, 8).to_pylist() for _ in range(2)] == [want] * 2
+    FP._known.clear()

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -225,3 +226,67 @@ def test_best_partners_of_a_tile_are_joined_in_the_task():
                                        ["set_ids", "sizes", "bits", "set_ids_b", "sizes_b", "bits_b"])
     got = pa.Table.from_batches(list(Z._best_of_tiles(iter([batch]), Z._ratio(0.0)))).to_pylist()
     assert sorted((r["set_id"][0], r["max_sim"]) for r in got) == [(1, 0.75), (2, 0.5)]
+
+
+def counted_sets(spark, n):
+    """(texts without a common letter, their sets, how often a set was made)."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def bits(texts: pa.Array) -> pa.Array:
+        seen.add(len(texts))
+        return pa.array([[ord(c) for c in sorted(set(t))] for t in texts.to_pylist()], pa.list_(pa.int32()))
+
+    bits.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    df = spark.createDataFrame([(i, "".join(chr(0x4E00 + 20 * i + j) for j in range(20))) for i in range(n)], "id bigint, text string").repartition(3)
+    return df, F.arrow_udf(bits, "array<int>")("text"), seen
+
+
+def test_members_and_prefixes_are_made_in_one_pass(spark, monkeypatch):
+    monkeypatch.setattr(Z, "ORDER_ROWS", 1)
+    df, fp, seen = counted_sets(spark, 90)
+    assert Z.similarity_join(df, None, 0.65, "id", fp).count() == 0
+    assert 90 <= seen.value <= 110
+
+
+def test_prefixes_hold_the_rare_bits():
+    """A third of each set are bits of all sets: none of them is in a prefix, so no list is as long as the table."""
+    common, n = list(range(1_000_000, 1_000_010)), 200
+    sets = [sorted(range(20 * i, 20 * i + 20)) + common for i in range(n)]
+    fp = pa.array(sets, pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), fp, pa.nulls(n, pa.int64())], ["id", "fp", "none_0"])
+    rarity = np.frombuffer(next(Z._seen(iter([batch]))).column("seen")[0].as_py(), dtype=np.uint8)
+    members, packed = Z._scanned(iter([batch]), Z._ratio(0.65), 1, 0, 1, rarity)
+    assert members.num_rows == n and packed.column("part").to_pylist() == [0]
+    raw = np.frombuffer(packed.column("bits")[0].as_py(), dtype=np.uint8).reshape(-1, 3)
+    assert np.unique(raw, axis=0, return_counts=True)[1].max() <= 2
+    out = list(Z._candidates(iter([members, packed]), Z._ratio(0.65), 1))
+    assert [b.num_rows for b in out] == [n, 0]
+
+
+def test_pairs_of_a_part_equal_brute_force():
+    """Every pair whose shared bits reach the threshold is a candidate; one part holds whole prefixes, so few others are."""
+    rng = random.Random(5)
+    base = [rng.sample(range(4_000), 60) for _ in range(12)]
+    sets = [sorted({*rng.sample(rng.choice(base), rng.randint(40, 60)), *(rng.randrange(4_000) for _ in range(rng.randrange(6)))}) for _ in range(150)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(150), pa.int64()), pa.array(sets, pa.list_(pa.int32())), pa.nulls(150, pa.int64())], ["id", "fp", "none_0"])
+    rarity = np.frombuffer(next(Z._seen(iter([batch]))).column("seen")[0].as_py(), dtype=np.uint8)
+    for t in (0.4, 0.65, 0.9):
+        members, packed = Z._scanned(iter([batch]), Z._ratio(t), 16, 0, 1, rarity)
+        names, found = dict(zip([m[:8] for m in members.column("set_id").to_pylist()], range(150), strict=True)), set()
+        for part in range(16):
+            for b in Z._candidates(iter([packed.filter(pc.equal(packed.column("part"), part))]), Z._ratio(t), 1):
+                found |= {tuple(sorted((names[x], names[y]))) for x, y in zip(b.column("name_a").to_pylist(), b.column("name_b").to_pylist(), strict=True)}
+        want = {(i, j) for i in range(150) for j in range(i + 1, 150) if similar(sets[i], sets[j], t)}
+        assert want and want <= found and len(found) < 150 * 149 / 4
+
+
+def test_sets_that_share_a_name_are_told_apart(spark, monkeypatch):
+    """Parts know sets by 8 bytes of their hash; here all hashes begin alike."""
+    from hashlib import md5
+
+    monkeypatch.setattr(Z, "_names", lambda size, bits: [b"\0" * 8 + md5(bits[e - n:e].tobytes()).digest()[:8] for n, e in zip(size.tolist(), np.cumsum(size).tolist(), strict=True)])
+    sets = [[1, 2, 3, 4], [2, 3, 4, 5], [9], [1, 2, 3, 4], [1, 2, 3, 4, 5]]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5), pa.int64()), pa.array(sets, pa.list_(pa.int32())), pa.nulls(5, pa.int64())], ["id", "fp", "none_0"])
+    made = list(Z._scanned(iter([batch]), Z._ratio(0.5), 1, 0, 1, np.zeros(1 << Z.ORDER_SLOTS, np.uint8)))
+    (found,) = Z._candidates(iter(made[1:]), Z._ratio(0.5), 1)
+    assert found.num_rows >= 3 and set(found.column("name_a").to_pylist() + found.column("name_b").to_pylist()) == {b"\0" * 8}
