@@ -254,9 +254,9 @@ def test_prefixes_hold_the_rare_bits():
     sets = [sorted(range(20 * i, 20 * i + 20)) + common for i in range(n)]
     fp = pa.array(sets, pa.list_(pa.int32()))
     batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), fp, pa.nulls(n, pa.int64())], ["id", "fp", "none_0"])
-    rarity = np.frombuffer(next(Z._seen(iter([batch]))).column("seen")[0].as_py(), dtype=np.uint8)
-    members, packed = Z._scanned(iter([batch]), Z._ratio(0.65), 1, 0, 1, rarity)
-    assert members.num_rows == n and packed.column("part").to_pylist() == [0]
+    rarity = np.frombuffer(next(Z._seen(iter([batch]), Z._ratio(0.65))).column("seen")[0].as_py(), dtype=np.uint8)
+    members, packed = Z._scanned(iter([batch]), Z._ratio(0.65), np.ones(Z.BANDS, np.int64), 0, 1, rarity)
+    assert members.num_rows == n and packed.column("part").to_pylist() == [2]
     raw = np.frombuffer(packed.column("bits")[0].as_py(), dtype=np.uint8).reshape(-1, 3)
     assert np.unique(raw, axis=0, return_counts=True)[1].max() <= 2
     out = list(Z._candidates(iter([members, packed]), Z._ratio(0.65), 1))
@@ -269,12 +269,12 @@ def test_pairs_of_a_part_equal_brute_force():
     base = [rng.sample(range(4_000), 60) for _ in range(12)]
     sets = [sorted({*rng.sample(rng.choice(base), rng.randint(40, 60)), *(rng.randrange(4_000) for _ in range(rng.randrange(6)))}) for _ in range(150)]
     batch = pa.RecordBatch.from_arrays([pa.array(range(150), pa.int64()), pa.array(sets, pa.list_(pa.int32())), pa.nulls(150, pa.int64())], ["id", "fp", "none_0"])
-    rarity = np.frombuffer(next(Z._seen(iter([batch]))).column("seen")[0].as_py(), dtype=np.uint8)
+    rarity = np.frombuffer(next(Z._seen(iter([batch]), Z._ratio(0.65))).column("seen")[0].as_py(), dtype=np.uint8)
     for t in (0.4, 0.65, 0.9):
-        members, packed = Z._scanned(iter([batch]), Z._ratio(t), 16, 0, 1, rarity)
+        members, packed = Z._scanned(iter([batch]), Z._ratio(t), np.full(Z.BANDS, 5), 0, 1, rarity)
         names, found = dict(zip([m[:8] for m in members.column("set_id").to_pylist()], range(150), strict=True)), set()
-        for part in range(16):
-            for b in Z._candidates(iter([packed.filter(pc.equal(packed.column("part"), part))]), Z._ratio(t), 1):
+        for part in range(5 * Z.BANDS):
+            for b in Z._candidates(iter([x for x in [packed.filter(pc.equal(packed.column("part"), part))] if x.num_rows]), Z._ratio(t), 1):
                 found |= {tuple(sorted((names[x], names[y]))) for x, y in zip(b.column("name_a").to_pylist(), b.column("name_b").to_pylist(), strict=True)}
         want = {(i, j) for i in range(150) for j in range(i + 1, 150) if similar(sets[i], sets[j], t)}
         assert want and want <= found and len(found) < 150 * 149 / 4
@@ -287,6 +287,22 @@ def test_sets_that_share_a_name_are_told_apart(spark, monkeypatch):
     monkeypatch.setattr(Z, "_names", lambda size, bits: [b"\0" * 8 + md5(bits[e - n:e].tobytes()).digest()[:8] for n, e in zip(size.tolist(), np.cumsum(size).tolist(), strict=True)])
     sets = [[1, 2, 3, 4], [2, 3, 4, 5], [9], [1, 2, 3, 4], [1, 2, 3, 4, 5]]
     batch = pa.RecordBatch.from_arrays([pa.array(range(5), pa.int64()), pa.array(sets, pa.list_(pa.int32())), pa.nulls(5, pa.int64())], ["id", "fp", "none_0"])
-    made = list(Z._scanned(iter([batch]), Z._ratio(0.5), 1, 0, 1, np.zeros(1 << Z.ORDER_SLOTS, np.uint8)))
-    (found,) = Z._candidates(iter(made[1:]), Z._ratio(0.5), 1)
+    made = list(Z._scanned(iter([batch]), Z._ratio(0.5), np.ones(Z.BANDS, np.int64), 0, 1, np.zeros(1 << Z.ORDER_SLOTS, np.uint8)))
+    parts = [made[1].slice(i, 1) for i in range(made[1].num_rows)]
+    found = pa.Table.from_batches([x for p in parts for x in Z._candidates(iter([p]), Z._ratio(0.5), 1)])
     assert found.num_rows >= 3 and set(found.column("name_a").to_pylist() + found.column("name_b").to_pylist()) == {b"\0" * 8}
+
+
+def test_short_sets_are_in_few_parts():
+    """Long sets make many parts; short ones are not torn into them, where one shared bit would make a candidate."""
+    rng = random.Random(8)
+    short = [sorted(rng.sample(range(300), 30)) for _ in range(100)]
+    long = [sorted(rng.sample(range(1_000_000), 3_000)) for _ in range(20)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(120), pa.int64()), pa.array(short + long, pa.list_(pa.int32())), pa.nulls(120, pa.int64())], ["id", "fp", "none_0"])
+    seen = next(Z._seen(iter([batch]), Z._ratio(0.65)))
+    rarity, held = np.frombuffer(seen.column("seen")[0].as_py(), dtype=np.uint8), np.frombuffer(seen.column("held")[0].as_py(), dtype=np.int64)
+    assert held[5] >= 20 * 1_000 and held[2] == Z._prefix(np.array([30]), Z._ratio(0.65))[0] * 100 and held[8:].sum() == 0
+    _, packed = Z._scanned(iter([batch]), Z._ratio(0.65), 1 + held // 1_000, 0, 1, rarity)
+    parts = [packed.slice(i, 1) for i in range(packed.num_rows)]
+    assert len(parts) >= 20
+    assert sum(b.num_rows for p in parts for b in Z._candidates(iter([p]), Z._ratio(0.65), 1)) < 300
