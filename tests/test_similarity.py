@@ -306,3 +306,22 @@ def test_short_sets_are_in_few_parts():
     parts = [packed.slice(i, 1) for i in range(packed.num_rows)]
     assert len(parts) >= 20
     assert sum(b.num_rows for p in parts for b in Z._candidates(iter([p]), Z._ratio(0.65), 1)) < 300
+
+
+def test_lists_of_a_tile_are_made_once_and_cells_are_few(monkeypatch):
+    """A tile keeps its posting lists over all the tiles it meets, and however many short sets meet, few counts are held at once."""
+    rng = random.Random(3)
+    some = lambda n, at: [(at + i, sorted(rng.sample(range(60), rng.randint(1, 6)))) for i in range(n)]
+    blob = lambda sets: [b"".join(bytes([n]) * 16 for n, _ in sets), np.array([len(s) for _, s in sets], np.int32).tobytes(),
+                         np.concatenate([np.array(s, np.int32) for _, s in sets]).tobytes()]
+    a, others = some(30, 1), [some(25, 100), some(20, 150), some(1, 200)]
+    made, postings, counted, bincount = [], Z._postings, [], np.bincount
+    monkeypatch.setattr(Z, "PAIRS", 40)
+    monkeypatch.setattr(Z, "_postings", lambda *x: made.append(1) or postings(*x))
+    monkeypatch.setattr(Z.np, "bincount", lambda x, **kw: counted.append(kw["minlength"]) or bincount(x, **kw))
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*[blob(a) + blob(x) for x in others], strict=True)],
+                                       ["set_ids", "sizes", "bits", "set_ids_b", "sizes_b", "bits_b"])
+    got = {r["set_id"][0]: r["max_sim"] for r in pa.Table.from_batches(list(Z._best_of_tiles(iter([batch]), Z._ratio(0.0)))).to_pylist()}
+    for n, s in a:
+        assert got.get(n, 0.0) == pytest.approx(max(len({*s} & {*o}) / len({*s} | {*o}) for x in others for _, o in x))
+    assert len(made) == 4 and max(counted) <= 40
